@@ -1,0 +1,30 @@
+"""Joins whose strategy follows from a measured size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from larkspur.operators.durable import cut
+
+#: Rows up to which a measured side is sent to every executor.
+BROADCAST_ROWS = 100_000
+
+
+def join_measured(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    how: str = "left_semi",
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Join a huge ``left`` to a ``right`` that is usually, but not surely, small.
+
+    ``right`` is computed once into shared storage and counted.  Up to
+    ``broadcast_rows`` it is broadcast and ``left`` is not shuffled at all;
+    beyond that both sides shuffle on the key and the adaptive planner splits
+    hot keys.
+    """
+    stored = cut(right)
+    small = stored.count() <= broadcast_rows
+    return left.join(F.broadcast(stored) if small else stored, keys, how)
