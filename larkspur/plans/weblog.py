@@ -121,20 +121,32 @@ def country_slice(slices: DataFrame, country: str) -> DataFrame:
     return slices.filter(F.col("country") == country).select("host", "n")
 
 
-def leading_hosts(parsed: DataFrame) -> DataFrame:
+def named_country_rows(lines: DataFrame) -> DataFrame:
+    """Strictly parsed rows of the hosts that fall in a named country.
+
+    A named host leaves its marker in the line, so a substring test drops most
+    lines before any pattern is matched against them.
+    """
+    value = F.col("value")
+    marked = lines.filter(value.contains(lf.UK_SUFFIX) | value.contains(lf.US_SUFFIX))
+    return with_country(parse_strict(marked)).filter(
+        (F.col("country") != "other") & F.col("host").isNotNull()
+    )
+
+
+def leading_hosts(lines: DataFrame) -> DataFrame:
     """The first-ranked host(s) of every named country."""
-    named = with_country(parsed).filter(F.col("country") != "other")
-    return top_k(count_rows(named, ["country", "host"]), "country", 1)
+    return top_k(count_rows(named_country_rows(lines), ["country", "host"]), "country", 1)
 
 
-def leading_host_events(parsed: DataFrame) -> DataFrame:
+def leading_host_events(lines: DataFrame) -> DataFrame:
     """The log rows of the leading hosts.
 
     Leading hosts are hot by nature; the row-level join only shuffles the log
     if so many hosts tie for first place that they cannot be broadcast.
     """
-    leaders = leading_hosts(parsed).select("host")
-    return join_measured(with_country(parsed), leaders, ["host"]).select(
+    leaders = leading_hosts(lines).select("host")
+    return join_measured(named_country_rows(lines), leaders, ["host"]).select(
         "country", "host", "ts_raw"
     )
 
@@ -152,15 +164,16 @@ def log_times(parsed: DataFrame) -> DataFrame:
     )
 
 
-def heatmap(parsed: DataFrame) -> DataFrame:
+def heatmap(lines: DataFrame) -> DataFrame:
     """Lines per country, day and hour of the country's leading host(s).
 
     Lines are counted per (host, day, hour) first: a host then has at most 744
     rows however much of the log it wrote, and both the ranking and the join
     read those counts from the same shuffle.
     """
-    named = with_country(log_times(parsed)).filter(F.col("country") != "other")
-    hourly = count_rows(named, ["country", "host", "day", "hour"])
+    hourly = count_rows(
+        log_times(named_country_rows(lines)), ["country", "host", "day", "hour"]
+    )
     totals = hourly.groupBy("country", "host").agg(F.sum("n").alias("n"))
     leaders = top_k(totals, "country", 1).select("country", "host")
     return (

@@ -6,9 +6,9 @@ with ``ORACLES`` (name -> SQL over the same tables).
 
 from __future__ import annotations
 
-from larkspur.registry import weblog
+from larkspur.registry import tables, weblog
 
-MODULES = (weblog,)
+MODULES = (weblog, tables)
 
 
 def all_queries() -> dict:

@@ -43,15 +43,15 @@ QUERIES = {
     "log_institution_rank": lambda s, d: weblog.institution_ranks(
         _strict(s, d), INSTITUTION
     ).filter(F.col("host").endswith(INSTITUTION_SUFFIX)),
-    "log_top_host": lambda s, d: weblog.leading_hosts(_strict(s, d)),
-    "log_top_host_events": lambda s, d: weblog.leading_host_events(_strict(s, d)),
+    "log_top_host": lambda s, d: weblog.leading_hosts(_lines(s, d)),
+    "log_top_host_events": lambda s, d: weblog.leading_host_events(_lines(s, d)),
     "log_timestamps": lambda s, d: weblog.log_times(_strict(s, d)).select(
         "host", "ts_raw", "epoch_s", "day", "hour", "local_day", "local_hour"
     ),
-    "log_heatmap": lambda s, d: weblog.heatmap(_strict(s, d)),
-    "log_heatmap_pivot": lambda s, d: weblog.heatmap_pivot(weblog.heatmap(_strict(s, d))),
+    "log_heatmap": lambda s, d: weblog.heatmap(_lines(s, d)),
+    "log_heatmap_pivot": lambda s, d: weblog.heatmap_pivot(weblog.heatmap(_lines(s, d))),
     "log_busy_hours": lambda s, d: weblog.busy_hours(
-        weblog.heatmap(_strict(s, d)), "UK", BUSY_ABOVE
+        weblog.heatmap(_lines(s, d)), "UK", BUSY_ABOVE
     ),
 }
 
