@@ -6,9 +6,9 @@ with ``ORACLES`` (name -> SQL over the same tables).
 
 from __future__ import annotations
 
-from larkspur.registry import tables, weblog
+from larkspur.registry import models, recommend, tables, weblog
 
-MODULES = (weblog, tables)
+MODULES = (weblog, tables, models, recommend)
 
 
 def all_queries() -> dict:
