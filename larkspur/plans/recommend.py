@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -139,7 +140,7 @@ def misplaced(
     centres = [F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()]
     squared = [
         F.aggregate(
-            F.zip_with(F.col("features"), c, lambda x, y: (x - y) * (x - y)),
+            F.zip_with(vector_to_array("features"), c, lambda x, y: (x - y) * (x - y)),
             F.lit(0.0),
             lambda total, term: total + term,
         )

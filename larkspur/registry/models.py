@@ -7,18 +7,21 @@ the query reports that property; other queries report the model's output.
 
 from __future__ import annotations
 
+from functools import partial, reduce
+
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator,
     MulticlassClassificationEvaluator,
     RegressionEvaluator,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.functions.hashing import RESOLUTION
 from larkspur.operators import metrics, sampling
 from larkspur.plans import classify, experiments, tabular
 from larkspur.registry.tables import ENCOUNTERS_SQL, bucket_sql
-from larkspur.functions.hashing import RESOLUTION
 from larkspur.sources import standins
 
 SEED = tabular.SEED
@@ -64,22 +67,25 @@ def _scaled(s, d, split=None):
 def _per_flag(s, d, target, model, prediction):
     """One saturated model per flag; its predictions per flag value."""
     rows = tabular.compact(tabular.collapse(_encounters(s, d), [*FLAGS, target]))
-    out = None
-    for name in FLAGS:
-        one = tabular.assemble(
-            rows.groupBy(F.col(name).alias("flag"), target).agg(
-                F.sum(tabular.WEIGHT).alias(tabular.WEIGHT)
-            ),
-            ["flag"],
+
+    def one(name):
+        single = rows.select(F.col(name).alias("flag"), target, tabular.WEIGHT)
+        vectors = tabular.assemble(single, ["flag"])
+        scored = model(target).setTol(1e-10).fit(vectors).transform(vectors)
+        return scored.select(
+            F.lit(name).alias("feature"), "flag", tabular.WEIGHT,
+            prediction.alias("predicted"),
         )
-        scored = model(target).setTol(1e-10).fit(one).transform(one)
-        part = scored.groupBy("flag").agg(
+
+    parts = experiments.in_parallel(s, [partial(one, name) for name in FLAGS], len(FLAGS))
+    return (
+        reduce(DataFrame.union, parts)
+        .groupBy("feature", "flag")
+        .agg(
             F.sum(tabular.WEIGHT).alias("n_rows"),
-            F.round(F.max(prediction), 4).alias("predicted"),
+            F.round(F.max("predicted"), 4).alias("predicted"),
         )
-        part = part.select(F.lit(name).alias("feature"), "flag", "n_rows", "predicted")
-        out = part if out is None else out.union(part)
-    return out
+    )
 
 
 def _glm_poisson(s, d):

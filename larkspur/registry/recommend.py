@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.clustering import KMeansModel
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.operators import sampling
@@ -47,7 +51,7 @@ def _als_report(s, d):
 
 def _vectors(s, d):
     return table(s, d, "embeddings").select(
-        F.col("vec_id").alias("id"), F.col("embedding").alias("features")
+        F.col("vec_id").alias("id"), array_to_vector("embedding").alias("features")
     )
 
 
@@ -117,12 +121,9 @@ def _cluster_profile(s, d):
         recommend.assign_clusters(factors).select(F.lit(fold).alias("fold"), "*")
         for fold, factors in recommend.factors_per_fold(_folded(s, d)).items()
     ]
-    assigned = parts[0]
-    for part in parts[1:]:
-        assigned = assigned.union(part)
     return _as_double(
         recommend.profile(
-            assigned, standins.item_tag_scores(s, d), standins.tag_names(s, d), by=["fold"]
+            reduce(DataFrame.union, parts), standins.item_tag_scores(s, d), standins.tag_names(s, d), by=["fold"]
         ),
         "sum_score",
     )
