@@ -23,6 +23,18 @@ def field(line: Column, position: int, pattern: str = LINE_PATTERN) -> Column:
     return F.regexp_extract(line, pattern, position)
 
 
+def all_fields(line: Column, pattern: str = LINE_PATTERN) -> Column:
+    """The five groups as an array of text, from a single match of the pattern.
+
+    The whole line is replaced by its groups with line feeds between them, and
+    the result is split.  No group can hold a line feed, because neither ``.``
+    nor a digit matches one.  The second branch takes a line that misses the
+    pattern, whose groups are then all ``''``.
+    """
+    whole = rf"^(?:{pattern.removeprefix('^')}[\s\S]*|[\s\S]*)"
+    return F.split(F.regexp_replace(line, whole, "$1\n$2\n$3\n$4\n$5"), "\n")
+
+
 def country_of(host: Column) -> Column:
     """Country by the first rule that holds; matching is case-sensitive."""
     return (

@@ -15,31 +15,41 @@ from larkspur.operators.ranking import (
     top_k_with_rest,
 )
 
+FIELDS = ["host", "ts_raw", "request", "status", "bytes"]
 TOP = 9
 DAYS = range(1, 32)
 
 
+def _matched(lines: DataFrame, pattern: str) -> DataFrame:
+    """Lines as rows of five text fields.
+
+    The fields leave through ``inline``, which filters are not pushed through:
+    a later filter on a field reads the field instead of matching the pattern
+    again.
+    """
+    parts = lines.select(lf.all_fields(F.col("value"), pattern).alias("parts"))
+    row = F.struct(*[F.get("parts", F.lit(i)).alias(name) for i, name in enumerate(FIELDS)])
+    return parts.select(F.inline(F.array(row)))
+
+
 def parse_strict(lines: DataFrame) -> DataFrame:
     """Five text fields; a line that misses the pattern gives ``''`` in all five."""
-    value = F.col("value")
-    return lines.select(
-        lf.field(value, 1).alias("host"),
-        lf.field(value, 2).alias("ts_raw"),
-        lf.field(value, 3).alias("request"),
-        lf.field(value, 4).alias("status"),
-        lf.field(value, 5).alias("bytes"),
-    )
+    return _matched(lines, lf.LINE_PATTERN)
+
+
+def parse_hosts(lines: DataFrame) -> DataFrame:
+    """The host alone, as ``parse_strict`` gives it, for jobs that need no other field."""
+    return lines.select(lf.field(F.col("value"), 1).alias("host"))
 
 
 def parse(lines: DataFrame) -> DataFrame:
     """Typed fields; ``-`` bytes are null and do not spoil the line."""
-    value, pattern = F.col("value"), lf.LINE_PATTERN_NULL_BYTES
-    return lines.select(
-        lf.field(value, 1, pattern).alias("host"),
-        lf.field(value, 2, pattern).alias("ts_raw"),
-        lf.field(value, 3, pattern).alias("request"),
-        lf.field(value, 4, pattern).try_cast("int").alias("status"),
-        lf.field(value, 5, pattern).try_cast("long").alias("bytes"),
+    return _matched(lines, lf.LINE_PATTERN_NULL_BYTES).select(
+        "host",
+        "ts_raw",
+        "request",
+        F.col("status").try_cast("int").alias("status"),
+        F.col("bytes").try_cast("long").alias("bytes"),
     )
 
 

@@ -20,6 +20,10 @@ def _strict(spark, folder):
     return weblog.parse_strict(_lines(spark, folder))
 
 
+def _hosts(spark, folder):
+    return weblog.parse_hosts(_lines(spark, folder))
+
+
 QUERIES = {
     "log_lines": _lines,
     "log_country_lines": lambda s, d: weblog.country_line_counts(_lines(s, d)),
@@ -27,21 +31,21 @@ QUERIES = {
     "log_parse": lambda s, d: weblog.parse(_lines(s, d)),
     "log_parse_strict": _strict,
     "log_country": lambda s, d: weblog.with_country(_strict(s, d)),
-    "log_distinct_hosts": lambda s, d: weblog.distinct_hosts(_strict(s, d)),
-    "log_host_counts": lambda s, d: weblog.host_counts(_strict(s, d)).orderBy(
+    "log_distinct_hosts": lambda s, d: weblog.distinct_hosts(_hosts(s, d)),
+    "log_host_counts": lambda s, d: weblog.host_counts(_hosts(s, d)).orderBy(
         F.desc("n"), "country", "host"
     ),
-    "log_host_rank": lambda s, d: weblog.host_ranks(_strict(s, d)),
-    "log_top9": lambda s, d: weblog.top_hosts(_strict(s, d)),
-    "log_top9_rest": lambda s, d: weblog.top_hosts_with_rest(_strict(s, d)),
-    "log_share": lambda s, d: weblog.host_shares(_strict(s, d)).withColumn(
+    "log_host_rank": lambda s, d: weblog.host_ranks(_hosts(s, d)),
+    "log_top9": lambda s, d: weblog.top_hosts(_hosts(s, d)),
+    "log_top9_rest": lambda s, d: weblog.top_hosts_with_rest(_hosts(s, d)),
+    "log_share": lambda s, d: weblog.host_shares(_hosts(s, d)).withColumn(
         "share", F.round("share", 6)
     ),
     "log_country_slice": lambda s, d: weblog.country_slice(
-        weblog.top_hosts_with_rest(_strict(s, d)), "UK"
+        weblog.top_hosts_with_rest(_hosts(s, d)), "UK"
     ),
     "log_institution_rank": lambda s, d: weblog.institution_ranks(
-        _strict(s, d), INSTITUTION
+        _hosts(s, d), INSTITUTION
     ).filter(F.col("host").endswith(INSTITUTION_SUFFIX)),
     "log_top_host": lambda s, d: weblog.leading_hosts(_lines(s, d)),
     "log_top_host_events": lambda s, d: weblog.leading_host_events(_lines(s, d)),
