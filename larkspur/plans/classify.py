@@ -13,7 +13,6 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,9 +53,10 @@ def with_features(rows: DataFrame, inputs: Sequence[str]) -> DataFrame:
     return assembled.select(*keep, FEATURES)
 
 
-def vectors_from_array(values: str):
-    """Feature vector straight from an array column."""
-    return array_to_vector(F.col(values)).alias(FEATURES)
+def labelled_vectors(rows: DataFrame, label: str) -> DataFrame:
+    """Rows that already hold a feature vector, with the label as 0.0/1.0."""
+    keep = [c for c in rows.columns if c != label]
+    return rows.select(*keep, signed_label(F.col(label)).alias(LABEL))
 
 
 def forest(seed: int = SEED, **settings) -> RandomForestClassifier:

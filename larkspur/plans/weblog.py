@@ -127,21 +127,22 @@ def host_shares(parsed: DataFrame, k: int = TOP) -> DataFrame:
     )
 
 
-def country_slice(slices: DataFrame, country: str) -> DataFrame:
-    return slices.filter(F.col("country") == country).select("host", "n")
+def country_slice(parsed: DataFrame, country: str, k: int = TOP) -> DataFrame:
+    """Top hosts and rest of one country; its lines are picked before any ranking."""
+    counted = host_counts(parsed).filter(F.col("country") == country)
+    return top_k_with_rest(counted, "country", "host", k, lf.REST_LABEL).select("host", "n")
 
 
-def named_country_rows(lines: DataFrame) -> DataFrame:
-    """Strictly parsed rows of the hosts that fall in a named country.
+def named_country_rows(lines: DataFrame, country: str | None = None) -> DataFrame:
+    """Strictly parsed rows of the hosts in a named country (all, or the given one).
 
     A named host leaves its marker in the line, so a substring test drops most
     lines before any pattern is matched against them.
     """
     value = F.col("value")
     marked = lines.filter(value.contains(lf.UK_SUFFIX) | value.contains(lf.US_SUFFIX))
-    return with_country(parse_strict(marked)).filter(
-        (F.col("country") != "other") & F.col("host").isNotNull()
-    )
+    wanted = F.col("country") == country if country else F.col("country") != "other"
+    return with_country(parse_strict(marked)).filter(wanted & F.col("host").isNotNull())
 
 
 def leading_hosts(lines: DataFrame) -> DataFrame:
@@ -174,7 +175,7 @@ def log_times(parsed: DataFrame) -> DataFrame:
     )
 
 
-def heatmap(lines: DataFrame) -> DataFrame:
+def heatmap(lines: DataFrame, country: str | None = None) -> DataFrame:
     """Lines per country, day and hour of the country's leading host(s).
 
     Lines are counted per (host, day, hour) first: a host then has at most 744
@@ -182,7 +183,7 @@ def heatmap(lines: DataFrame) -> DataFrame:
     read those counts from the same shuffle.
     """
     hourly = count_rows(
-        log_times(named_country_rows(lines)), ["country", "host", "day", "hour"]
+        log_times(named_country_rows(lines, country)), ["country", "host", "day", "hour"]
     )
     totals = hourly.groupBy("country", "host").agg(F.sum("n").alias("n"))
     leaders = top_k(totals, "country", 1).select("country", "host")
@@ -201,5 +202,6 @@ def heatmap_pivot(cells: DataFrame) -> DataFrame:
     )
 
 
-def busy_hours(cells: DataFrame, country: str, above: int) -> DataFrame:
-    return cells.filter((F.col("country") == country) & (F.col("n") > above))
+def busy_hours(lines: DataFrame, country: str, above: int) -> DataFrame:
+    """Heatmap cells of one country with more than ``above`` lines."""
+    return heatmap(lines, country).filter(F.col("n") > above)

@@ -28,7 +28,6 @@ SEED = tabular.SEED
 FLAGS = list(standins.ENCOUNTER_OFF)
 TRAIN_SHARE = {0.0: 0.8, 1.0: 0.8}
 TEST_FOLD, BIT_FOLDS = 0, 5
-CURVE_SIZES = [0.3, 0.7, 1.0]
 
 
 # -- encounters ---------------------------------------------------------------
@@ -255,14 +254,34 @@ def _cv_by_metric(s, d):
         rows.unpersist()
 
 
+def challenge_sides(s, d):
+    """Train and test side of the 128-bit vectors."""
+    rows = classify.labelled_vectors(standins.challenge_vectors(s, d), "lbl")
+    return sampling.fold_pair(
+        sampling.assign_folds(rows, ["vec_key"], BIT_FOLDS, SEED), TEST_FOLD
+    )
+
+
+def _challenge_vectors(s, d):
+    """Label and number of ones per vector."""
+    rows = classify.labelled_vectors(standins.challenge_vectors(s, d), "lbl")
+    ones = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, b: a + b)
+    return rows.select("vec_key", classify.LABEL, ones.cast("int").alias("n_ones"))
+
+
 def _learning_curve(s, d):
-    train, test = _bit_sides(s, d)
+    train, test = challenge_sides(s, d)
     return experiments.learning_curve(
-        train, test, classify.curve_models(len(standins.BIT_COLUMNS)), ["vec_id"],
-        classify.LABEL, SEED, CURVE_SIZES,
+        train, test, classify.curve_models(standins.CHALLENGE_BITS), ["vec_key"],
+        classify.LABEL, SEED,
     )
 
 
+def _learning_curve_sizes(s, d):
+    train, _ = challenge_sides(s, d)
+    return experiments.sample_sizes(train.select("vec_key"), ["vec_key"], SEED)
+
+
 QUERIES = {
     "glm_poisson": _glm_poisson,
     "logit_l2": _logit_l2,
@@ -280,6 +299,8 @@ QUERIES = {
     "tree_importances": _tree_importances,
     "cv_trees": _cv_trees,
     "cv_by_metric": _cv_by_metric,
+    "challenge_vectors": _challenge_vectors,
+    "learning_curve_sizes": _learning_curve_sizes,
     "learning_curve": _learning_curve,
 }
 
@@ -293,7 +314,26 @@ def _group_means(target):
     return f"WITH {ENCOUNTERS_SQL} " + " UNION ALL ".join(parts)
 
 
+_CHALLENGES = """
+keyed AS (SELECT md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber)) AS vec_key
+          FROM lineitem),
+words AS (SELECT vec_key, """ + ", ".join(
+    f"bit_count(('0x' || substr(vec_key, {1 + 8 * i}, 8))::BIGINT) AS n{i}" for i in range(4)
+) + """ FROM keyed)"""
+
+
 ORACLES = {
+    "challenge_vectors": f"""WITH {_CHALLENGES}
+        SELECT vec_key, CASE WHEN n0 + n1 > n2 + n3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+                 AS labels,
+               CAST(n0 + n1 + n2 + n3 AS INTEGER) AS n_ones
+        FROM words""",
+    "learning_curve_sizes": f"""WITH {_CHALLENGES}
+        SELECT datasize, count(*) AS n_rows
+        FROM words, unnest({experiments.SIZES}::DOUBLE[]) AS sizes(datasize)
+        WHERE {bucket_sql('vec_key', BIT_FOLDS)} <> {TEST_FOLD}
+          AND {bucket_sql('vec_key', RESOLUTION)} < datasize * {RESOLUTION}
+        GROUP BY datasize""",
     "glm_poisson": _group_means("stay"),
     "logit_l2": _group_means("label"),
     "logit_elastic": f"""WITH {ENCOUNTERS_SQL}

@@ -225,9 +225,6 @@ QUERIES = {
     "param_grid": _settings,
     "results_upsert": _upsert,
     "results_update": _update,
-    "learning_curve_sizes": lambda s, d: experiments.sample_sizes(
-        table(s, d, "embeddings").select("vec_id"), ["vec_id"], SEED
-    ),
 }
 
 
@@ -358,8 +355,4 @@ ORACLES = {
                coalesce(l.value, {experiments.INITIAL_RUNTIME}::DOUBLE) AS value
         FROM (SELECT DISTINCT {_EVENT_KEYS} FROM events) k
         LEFT JOIN latest l ON k.user_id = l.user_id AND k.event_type = l.event_type""",
-    "learning_curve_sizes": f"""SELECT datasize, count(*) AS n_rows
-        FROM embeddings, unnest({experiments.SIZES}::DOUBLE[]) AS sizes(datasize)
-        WHERE {bucket_sql('vec_id', RESOLUTION)} < datasize * {RESOLUTION}
-        GROUP BY datasize""",
 }

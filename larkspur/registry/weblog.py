@@ -41,9 +41,7 @@ QUERIES = {
     "log_share": lambda s, d: weblog.host_shares(_hosts(s, d)).withColumn(
         "share", F.round("share", 6)
     ),
-    "log_country_slice": lambda s, d: weblog.country_slice(
-        weblog.top_hosts_with_rest(_hosts(s, d)), "UK"
-    ),
+    "log_country_slice": lambda s, d: weblog.country_slice(_hosts(s, d), "UK"),
     "log_institution_rank": lambda s, d: weblog.institution_ranks(
         _hosts(s, d), INSTITUTION
     ).filter(F.col("host").endswith(INSTITUTION_SUFFIX)),
@@ -54,9 +52,7 @@ QUERIES = {
     ),
     "log_heatmap": lambda s, d: weblog.heatmap(_lines(s, d)),
     "log_heatmap_pivot": lambda s, d: weblog.heatmap_pivot(weblog.heatmap(_lines(s, d))),
-    "log_busy_hours": lambda s, d: weblog.busy_hours(
-        weblog.heatmap(_lines(s, d)), "UK", BUSY_ABOVE
-    ),
+    "log_busy_hours": lambda s, d: weblog.busy_hours(_lines(s, d), "UK", BUSY_ABOVE),
 }
 
 _LINES = """

@@ -5,12 +5,15 @@ Each builder reads whole tables and stays a plain plan: nothing is collected.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.sources.readers import table
 
 EMBEDDING_SIZE = 64
+CHALLENGE_WORDS = 4
+CHALLENGE_BITS = 32 * CHALLENGE_WORDS
 BIT_COLUMNS = [f"b{i:02d}" for i in range(EMBEDDING_SIZE)]
 
 #: Text that means "off" per categorical column of ``encounters``.
@@ -48,13 +51,17 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def encounters(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order with lines: categorical text columns, outcome, number of lines."""
+    """One row per order with lines: categorical text columns, outcome, number of lines.
+
+    The one-letter codes are compared as numbers, which keeps the aggregate a
+    hash aggregate.
+    """
     lines = (
         table(spark, folder, "lineitem")
         .groupBy("l_orderkey")
         .agg(
-            F.max("l_returnflag").alias("returned"),
-            F.min("l_linestatus").alias("linestatus"),
+            F.char(F.max(F.ascii("l_returnflag"))).alias("returned"),
+            F.char(F.min(F.ascii("l_linestatus"))).alias("linestatus"),
             F.when(F.min("l_discount") > 0.02, "Yes").otherwise("No").alias("discounted"),
             F.count(F.lit(1)).alias("stay"),
         )
@@ -81,6 +88,35 @@ def bit_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings").select("vec_id", *bits, label.alias("lbl"))
 
 
+def challenge_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """128-bit vectors with a ``-1``/``1`` text label, one per order line.
+
+    The bits are the digest of the line's key.  The label says whether the first
+    half has more ones than the second, so models have something to learn.
+    """
+    key = F.concat_ws("|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    words = [
+        F.conv(F.substring("vec_key", 1 + 8 * i, 8), 16, 10).cast("long").alias(f"w{i}")
+        for i in range(CHALLENGE_WORDS)
+    ]
+    bits = [
+        F.getbit(f"w{i}", F.lit(31 - j)).cast("double")
+        for i in range(CHALLENGE_WORDS)
+        for j in range(32)
+    ]
+    first, second = (F.bit_count(a) + F.bit_count(b) for a, b in (("w0", "w1"), ("w2", "w3")))
+    return (
+        table(spark, folder, "lineitem")
+        .select(F.md5(key).alias("vec_key"))
+        .select("vec_key", *words)
+        .select(
+            "vec_key",
+            F.when(first > second, "1").otherwise("-1").alias("lbl"),
+            array_to_vector(F.array(*bits)).alias("features"),
+        )
+    )
+
+
 def ratings(spark: SparkSession, folder: str) -> DataFrame:
     """Mean ordered quantity per (customer, part) as a rating of 0.1 to 5."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
