@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.hashing import RESOLUTION, hash_bucket
 from larkspur.operators import metrics
+from larkspur.operators.layout import spread
 
 # The models and data sizes of the learning curve, and the
 # values an experiment starts from.
@@ -89,8 +90,9 @@ def learning_curve(
     fitted; every sample is a filter over the stored bucket.
     """
     spark = train.sparkSession
-    numbered = train.select("*", hash_bucket(keys, seed, RESOLUTION).alias("_bucket")).persist()
-    held_out = test.persist()
+    bucket = hash_bucket(keys, seed, RESOLUTION).alias("_bucket")
+    numbered = spread(train.select("*", bucket)).persist()
+    held_out = spread(test).persist()
 
     def point(name: str, size: float) -> Callable[[], tuple]:
         def run() -> tuple:

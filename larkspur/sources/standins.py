@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from larkspur.sources.readers import table
 
 EMBEDDING_SIZE = 64
-CHALLENGE_WORDS = 4
-CHALLENGE_BITS = 32 * CHALLENGE_WORDS
+CHALLENGE_BITS = 128
 BIT_COLUMNS = [f"b{i:02d}" for i in range(EMBEDDING_SIZE)]
 
 #: Text that means "off" per categorical column of ``encounters``.
@@ -95,24 +94,26 @@ def challenge_vectors(spark: SparkSession, folder: str) -> DataFrame:
     half has more ones than the second, so models have something to learn.
     """
     key = F.concat_ws("|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    words = [
-        F.conv(F.substring("vec_key", 1 + 8 * i, 8), 16, 10).cast("long").alias(f"w{i}")
-        for i in range(CHALLENGE_WORDS)
-    ]
-    bits = [
-        F.getbit(f"w{i}", F.lit(31 - j)).cast("double")
-        for i in range(CHALLENGE_WORDS)
-        for j in range(32)
+    digit_bits = F.array(
+        *[F.array(*[F.lit(float(d >> shift & 1)) for shift in (3, 2, 1, 0)]) for d in range(16)]
+    )
+    bits = F.flatten(
+        F.transform(
+            F.split("vec_key", ""),
+            lambda digit: F.get(digit_bits, F.instr(F.lit("0123456789abcdef"), digit) - 1),
+        )
+    )
+    ones = [
+        F.bit_count(F.conv(F.substring("vec_key", 1 + 16 * half, 16), 16, -10).cast("long"))
+        for half in (0, 1)
     ]
-    first, second = (F.bit_count(a) + F.bit_count(b) for a, b in (("w0", "w1"), ("w2", "w3")))
     return (
         table(spark, folder, "lineitem")
         .select(F.md5(key).alias("vec_key"))
-        .select("vec_key", *words)
         .select(
             "vec_key",
-            F.when(first > second, "1").otherwise("-1").alias("lbl"),
-            array_to_vector(F.array(*bits)).alias("features"),
+            F.when(ones[0] > ones[1], "1").otherwise("-1").alias("lbl"),
+            array_to_vector(bits).alias("features"),
         )
     )
 
