@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions.columns import signed_label, strings_to_double
+from larkspur.plans.tabular import grid
 
 # Seed, chosen settings and search grids of the published analysis.
 SEED = 66896
@@ -89,6 +90,39 @@ def tree(**settings) -> DecisionTreeClassifier:
     )
 
 
+def forest_grid(model: RandomForestClassifier) -> list[dict]:
+    """Depth x bins x trees: 27 settings."""
+    return grid(
+        {
+            model.maxDepth: TREE_DEPTHS,
+            model.maxBins: TREE_BINS,
+            model.numTrees: FOREST_SIZES,
+        }
+    )
+
+
+def boosting_grid(model: GBTClassifier) -> list[dict]:
+    """Depth x bins x rounds: 27 settings."""
+    return grid(
+        {
+            model.maxDepth: TREE_DEPTHS,
+            model.maxBins: TREE_BINS,
+            model.maxIter: BOOSTING_ROUNDS,
+        }
+    )
+
+
+def perceptron_grid(model: MultilayerPerceptronClassifier, inputs: int) -> list[dict]:
+    """Block size x layers x iterations: 18 settings."""
+    return grid(
+        {
+            model.blockSize: PERCEPTRON_BLOCKS,
+            model.layers: [[inputs, *hidden, 2] for hidden in PERCEPTRON_LAYERS],
+            model.maxIter: PERCEPTRON_ITERATIONS,
+        }
+    )
+
+
 def curve_models(inputs: int) -> dict[str, Estimator]:
     """The three compared models under the names of the learning curve."""
     return {"RF": forest(), "GBT": boosting(), "MPC": perceptron(inputs)}

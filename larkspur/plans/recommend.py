@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larkspur.operators import metrics
 from larkspur.operators.durable import cut
@@ -137,10 +138,12 @@ def misplaced(
 
     The centres go into the plan as literals: ``k`` of them, whatever the rows.
     """
+    is_array = isinstance(assigned.schema["features"].dataType, T.ArrayType)
+    features = F.col("features") if is_array else vector_to_array("features")
     centres = [F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()]
     squared = [
         F.aggregate(
-            F.zip_with(vector_to_array("features"), c, lambda x, y: (x - y) * (x - y)),
+            F.zip_with(features, c, lambda x, y: (x - y) * (x - y)),
             F.lit(0.0),
             lambda total, term: total + term,
         )

@@ -181,10 +181,11 @@ def best_point(search: DataFrame, larger_is_better: bool) -> DataFrame:
     return search.orderBy(metric.desc() if larger_is_better else metric.asc(), *names).limit(1)
 
 
-def validation_curve(search: DataFrame, series: str, x: str) -> DataFrame:
-    """The points of a search as curves: series, x, mean and deviation."""
+def validation_curve(search: DataFrame, x: str, series: str | None = None) -> DataFrame:
+    """The points of a search as one curve per ``series``: x, mean and deviation."""
+    name = F.col(series) if series else F.lit(None)
     return search.select(
-        F.col(series).cast("double").alias("series"),
+        name.cast("double").alias("series"),
         F.col(x).cast("double").alias("x"),
         F.col("mean_metric").alias("mean"),
         F.col("std_metric").alias("std"),
