@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.operators import metrics
-from larkspur.operators.durable import cut
+from larkspur.operators.durable import cut, shared_dir
 from larkspur.operators.sampling import fold_pair
 from larkspur.plans.experiments import in_parallel
 
@@ -34,6 +34,7 @@ CLUSTERS = 19
 TOP_CLUSTERS = 3
 TOP_TAGS = 3
 
+MAX_BLOCKS = 1000
 FOLD_SCHEMA = "fold int, setting string, rmse double, mae double"
 
 
@@ -46,9 +47,14 @@ def typed_ratings(raw: DataFrame) -> DataFrame:
     )
 
 
-def factor_model(ratings: DataFrame, **settings) -> ALS:
-    """Alternating least squares with as many blocks as the cluster has cores."""
-    blocks = max(10, ratings.sparkSession.sparkContext.defaultParallelism)
+def factor_model(ratings: DataFrame, blocks: int | None = None, **settings) -> ALS:
+    """Alternating least squares, with a block per core unless told otherwise.
+
+    Every block of users exchanges messages with every block of items, so the
+    default stops at ``MAX_BLOCKS`` on very wide clusters.
+    """
+    if blocks is None:
+        blocks = min(ratings.sparkSession.sparkContext.defaultParallelism, MAX_BLOCKS)
     return ALS(
         userCol="user_id",
         itemCol="item_id",
@@ -114,6 +120,7 @@ def factors_per_fold(
     folded: DataFrame, folds: int = FOLDS, parallelism: int = 4
 ) -> dict[int, DataFrame]:
     """Item factors of each training side, stored so later steps never refit."""
+    shared_dir(folded.sparkSession)
     rows = folded.persist()
 
     def one(fold: int) -> Callable[[], tuple]:
