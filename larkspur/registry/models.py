@@ -28,6 +28,7 @@ SEED = tabular.SEED
 FLAGS = list(standins.ENCOUNTER_OFF)
 TRAIN_SHARE = {0.0: 0.8, 1.0: 0.8}
 TEST_FOLD, BIT_FOLDS = 0, 5
+LONG_STAY = 4
 
 
 # -- encounters ---------------------------------------------------------------
@@ -158,6 +159,41 @@ def _cv_best_params(s, d):
     return tabular.best_point(_cv_glm(s, d), larger_is_better=False)
 
 
+def _cv_saturated(s, d):
+    """Cross-validated error of one saturated model per flag; SQL can state it exactly."""
+    folded = sampling.assign_folds(_encounters(s, d), ["encounter_id"], tabular.FOLDS, SEED + 1)
+    rows = tabular.compact(tabular.collapse(folded, [*FLAGS, "stay", "fold"]))
+
+    def one(name):
+        vectors = tabular.assemble(rows.select(name, "stay", "fold", tabular.WEIGHT), [name])
+        model = tabular.poisson_model("stay").setTol(1e-10)
+        settings = tabular.grid({model.regParam: [0.0]})
+        search = tabular.grid_search(model, settings, _rmse_evaluator(), vectors)
+        return tabular.search_table(vectors, search).select(
+            F.lit(name).alias("feature"),
+            F.round("mean_metric", 6).alias("mean_rmse"),
+            F.round("std_metric", 6).alias("std_rmse"),
+        )
+
+    parts = experiments.in_parallel(s, [partial(one, name) for name in FLAGS], len(FLAGS))
+    return reduce(DataFrame.union, parts)
+
+
+def _tree_majority(s, d):
+    """A tree grown over all flag combinations predicts each one's majority."""
+    long_stay = F.when(F.col("stay") >= LONG_STAY, 1.0).otherwise(0.0).alias(classify.LABEL)
+    rows = tabular.compact(
+        tabular.collapse(_encounters(s, d).select(*FLAGS, long_stay), [*FLAGS, classify.LABEL])
+    )
+    vectors = tabular.assemble(rows, FLAGS)
+    model = classify.tree().setWeightCol(tabular.WEIGHT).fit(vectors)
+    return (
+        model.transform(vectors)
+        .groupBy(*FLAGS)
+        .agg(F.sum(tabular.WEIGHT).alias("n_rows"), F.max("prediction").alias("prediction"))
+    )
+
+
 def _refit_equals_best(s, d):
     """The winner of a search against a fresh fit with its parameters, on the test side."""
     rows, search = _glm_search(s, d)
@@ -277,6 +313,25 @@ def _learning_curve(s, d):
     )
 
 
+def _quality(s, d):
+    """Whether each classifier beats the constant guess on the test vectors."""
+    train, test = challenge_sides(s, d)
+    fitted = {**classify.curve_models(standins.CHALLENGE_BITS), "DT": classify.tree(maxDepth=7)}
+    curve = experiments.learning_curve(
+        train, test, fitted, ["vec_key"], classify.LABEL, SEED, sizes=[1.0]
+    )
+    positive = F.avg(classify.LABEL)
+    guess = test.agg(
+        F.count(F.lit(1)).alias("n_test"), F.greatest(positive, 1 - positive).alias("guess")
+    ).first()
+    return curve.select(
+        "model",
+        F.col("n_rows").alias("n_train"),
+        F.lit(guess["n_test"]).cast("long").alias("n_test"),
+        (F.col("accuracy") > guess["guess"]).alias("beats_guess"),
+    )
+
+
 def _learning_curve_sizes(s, d):
     train, _ = challenge_sides(s, d)
     return experiments.sample_sizes(train.select("vec_key"), ["vec_key"], SEED)
@@ -291,7 +346,10 @@ QUERIES = {
     "cv_logit_elastic": _cv_logit_elastic,
     "validation_curve": _validation_curve,
     "cv_best_params": _cv_best_params,
+    "cv_saturated": _cv_saturated,
     "refit_equals_best": _refit_equals_best,
+    "clf_tree_majority": _tree_majority,
+    "clf_quality": _quality,
     "clf_forest": _predictions(classify.forest),
     "clf_boosting": _predictions(classify.boosting),
     "clf_perceptron": _predictions(lambda: classify.perceptron(len(standins.BIT_COLUMNS))),
@@ -322,7 +380,37 @@ words AS (SELECT vec_key, """ + ", ".join(
 ) + """ FROM keyed)"""
 
 
+def _fold_errors():
+    parts = [
+        f"""SELECT '{name}' AS feature, f.fold, sqrt(avg((f.stay - m.mean) * (f.stay - m.mean))) AS e
+            FROM folded f JOIN (
+              SELECT t.fold, e.{name} AS flag, avg(e.stay) AS mean
+              FROM (SELECT DISTINCT fold FROM folded) t JOIN folded e ON e.fold <> t.fold
+              GROUP BY 1, 2) m ON m.fold = f.fold AND m.flag = f.{name}
+            GROUP BY f.fold"""
+        for name in FLAGS
+    ]
+    return " UNION ALL ".join(parts)
+
+
 ORACLES = {
+    "cv_saturated": f"""WITH {ENCOUNTERS_SQL},
+        folded AS (SELECT *, {bucket_sql('encounter_id', tabular.FOLDS, SEED + 1)} AS fold
+                   FROM encounters),
+        errors AS ({_fold_errors()})
+        SELECT feature, round(avg(e), 6) AS mean_rmse, round(stddev_pop(e), 6) AS std_rmse
+        FROM errors GROUP BY feature""",
+    "clf_tree_majority": f"""WITH {ENCOUNTERS_SQL}
+        SELECT {", ".join(FLAGS)}, count(*) AS n_rows,
+               CASE WHEN avg(CASE WHEN stay >= {LONG_STAY} THEN 1.0 ELSE 0.0 END) > 0.5
+                    THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+        FROM encounters GROUP BY {", ".join(FLAGS)}""",
+    "clf_quality": f"""WITH {_CHALLENGES}
+        SELECT model, count(*) FILTER (WHERE {bucket_sql('vec_key', BIT_FOLDS)} <> {TEST_FOLD})
+                 AS n_train,
+               count(*) FILTER (WHERE {bucket_sql('vec_key', BIT_FOLDS)} = {TEST_FOLD}) AS n_test,
+               true AS beats_guess
+        FROM words, (VALUES ('RF'), ('GBT'), ('MPC'), ('DT')) AS models(model) GROUP BY model""",
     "challenge_vectors": f"""WITH {_CHALLENGES}
         SELECT vec_key, CASE WHEN n0 + n1 > n2 + n3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
                  AS labels,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from larkspur.operators import sampling
 from larkspur.operators.durable import shared_path
 from larkspur.plans import recommend
+from larkspur.registry.tables import RATINGS_SQL, bucket_sql
 from larkspur.sources import standins
 from larkspur.sources.readers import table
 from larkspur.sources.sinks import save_model
@@ -33,7 +34,12 @@ def _als_predict(s, d):
         model = recommend.factor_model(rows).fit(train)
     finally:
         rows.unpersist()
-    return model.transform(test).select("user_id", "item_id", "rating", "prediction")
+    return model.transform(test).select(
+        F.col("user_id").cast("long").alias("user_id"),
+        F.col("item_id").cast("long").alias("item_id"),
+        "rating",
+        "prediction",
+    )
 
 
 def _als_item_factors(s, d):
@@ -41,6 +47,26 @@ def _als_item_factors(s, d):
     return recommend.item_factors(train)
 
 
+def _finite(value):
+    return value.isNotNull() & ~F.isnan(value)
+
+
+def _als_coverage(s, d):
+    """Which test ratings get a prediction: those whose user and item were trained on."""
+    return _als_predict(s, d).select(
+        "user_id", "item_id", "rating", _finite(F.col("prediction")).alias("finite")
+    )
+
+
+def _als_factor_shape(s, d):
+    """Items with factors, how many each has, and whether all are finite."""
+    return _als_item_factors(s, d).select(
+        "id",
+        F.size("features").alias("n_factors"),
+        F.forall("features", _finite).alias("finite"),
+    )
+
+
 def _fold_metrics(s, d):
     return recommend.fold_metrics(_folded(s, d))
 
@@ -145,6 +171,8 @@ QUERIES = {
     "cluster_profile_fixed": _fixed_profile,
     "als_predict": _als_predict,
     "als_item_factors": _als_item_factors,
+    "als_coverage": _als_coverage,
+    "als_factor_shape": _als_factor_shape,
     "als_fold_metrics": _fold_metrics,
     "als_report": _als_report,
     "kmeans_assign": _kmeans_assign,
@@ -179,7 +207,19 @@ def _places(order):
         JOIN names USING (tag_id) WHERE place <= 3"""
 
 
+_FOLDED = f"""{RATINGS_SQL},
+folded AS (
+  SELECT *, {bucket_sql("user_id || ':' || item_id", recommend.FOLDS, recommend.SEED)} AS fold
+  FROM ratings)"""
+
 ORACLES = {
+    "als_coverage": f"""WITH {_FOLDED}
+        SELECT user_id, item_id, rating, true AS finite FROM folded
+        WHERE fold = 0 AND user_id IN (SELECT user_id FROM folded WHERE fold <> 0)
+          AND item_id IN (SELECT item_id FROM folded WHERE fold <> 0)""",
+    "als_factor_shape": f"""WITH {_FOLDED}
+        SELECT DISTINCT CAST(item_id AS INTEGER) AS id, 10::INTEGER AS n_factors, true AS finite
+        FROM folded WHERE fold <> 0""",
     "cluster_item_scores": f"""WITH {_SCORES}
         SELECT id, cluster, tag_id, CAST(relevance AS DOUBLE) AS relevance FROM item_scores""",
     "tag_scores": f"""WITH {_SCORES}
