@@ -9,6 +9,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.operators.layout import spread
 from larkspur.sources.readers import table
 
 EMBEDDING_SIZE = 64
@@ -91,7 +92,8 @@ def challenge_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """128-bit vectors with a ``-1``/``1`` text label, one per order line.
 
     The bits are the digest of the line's key.  The label says whether the first
-    half has more ones than the second, so models have something to learn.
+    half has more ones than the second, so models have something to learn.  A
+    narrow scan is spread while its rows are still four numbers wide.
     """
     key = F.concat_ws("|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     digit_bits = F.array(
@@ -107,8 +109,11 @@ def challenge_vectors(spark: SparkSession, folder: str) -> DataFrame:
         F.bit_count(F.conv(F.substring("vec_key", 1 + 16 * half, 16), 16, -10).cast("long"))
         for half in (0, 1)
     ]
+    keys = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"
+    )
     return (
-        table(spark, folder, "lineitem")
+        spread(keys)
         .select(F.md5(key).alias("vec_key"))
         .select(
             "vec_key",
