@@ -61,3 +61,35 @@ def test_filters_reach_the_scan(spark):
 def test_registry_names_are_unique():
     names = [n for m in (weblog, tables, recommend) for n in m.QUERIES]
     assert len(names) == len(set(names))
+
+
+def test_a_hot_level_is_split_and_keeps_every_row(spark):
+    """Most items share one count: the join back to the levels must not gather them."""
+    from larkspur.operators.ranking import rank_in_group
+    from pyspark.sql import functions as F
+
+    items = spark.range(300_000).select(
+        F.lit("other").alias("country"),
+        F.sha2(F.col("id").cast("string"), 256).alias("host"),
+        F.when(F.col("id") % 20 == 0, F.col("id") % 997 + 2).otherwise(1).alias("n"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        ranked = rank_in_group(items, "country")
+        spread = ranked.groupBy("rnk").agg(
+            F.count(F.lit(1)).alias("rows"), F.max(F.length("host"))
+        )
+        rows = {r.rnk: r.rows for r in spread.collect()}
+        plan = spread._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert sum(rows.values()) == 300_000
+    assert rows[15_001] == 285_000  # all hot items, ranked behind the 15,000 others
