@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.recommendation import ALS, ALSModel
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -174,6 +175,18 @@ def assign_clusters(factors: DataFrame, k: int = CLUSTERS) -> DataFrame:
     )
 
 
+def clusters_per_fold(
+    factors: Mapping[int, DataFrame], k: int = CLUSTERS, parallelism: int = 4
+) -> DataFrame:
+    """Items of every fold with the cluster of their factors in that fold."""
+
+    def one(fold: int) -> Callable[[], DataFrame]:
+        return lambda: assign_clusters(factors[fold], k).select(F.lit(fold).alias("fold"), "*")
+
+    spark = next(iter(factors.values())).sparkSession
+    return reduce(DataFrame.union, in_parallel(spark, [one(f) for f in factors], parallelism))
+
+
 def cluster_sizes(assigned: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return assigned.groupBy(*by, "cluster").agg(F.count(F.lit(1)).alias("n_items"))
 

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.operators import sampling
@@ -143,13 +140,10 @@ def _fixed_profile(s, d):
 
 def _cluster_profile(s, d):
     """Factors per fold, clusters per fold, tags of each fold's largest clusters."""
-    parts = [
-        recommend.assign_clusters(factors).select(F.lit(fold).alias("fold"), "*")
-        for fold, factors in recommend.factors_per_fold(_folded(s, d)).items()
-    ]
+    assigned = recommend.clusters_per_fold(recommend.factors_per_fold(_folded(s, d)))
     return _as_double(
         recommend.profile(
-            reduce(DataFrame.union, parts), standins.item_tag_scores(s, d), standins.tag_names(s, d), by=["fold"]
+            assigned, standins.item_tag_scores(s, d), standins.tag_names(s, d), by=["fold"]
         ),
         "sum_score",
     )

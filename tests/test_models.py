@@ -175,6 +175,10 @@ def test_fold_metrics_and_report(folded):
 def test_clusters_and_profiles(spark, folded):
     factors = recommend.factors_per_fold(folded, folds=2)
     assert set(factors) == {0, 1}
+    assigned = recommend.clusters_per_fold(factors, k=2)
+    sizes = recommend.largest_clusters(assigned, ["fold"]).collect()
+    assert {r.fold for r in sizes} == {0, 1}
+    assert sum(r.n_items for r in sizes) == sum(f.count() for f in factors.values())
     model = recommend.fit_clusters(factors[0], k=2)
     placed = model.transform(factors[0])
     check = recommend.misplaced(placed, model, "prediction").first()

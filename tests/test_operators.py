@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 from larkspur.functions.columns import flags, signed_label, strings_to_double
-from larkspur.operators import durable, joins, metrics, ranking, sampling, sets
+from larkspur.operators import durable, joins, layout, metrics, ranking, sampling, sets
 from larkspur.plans import experiments
 from pyspark.sql import functions as F
 
@@ -189,3 +189,11 @@ def test_cut_keeps_rows_in_the_shared_folder(spark):
     assert stored.count() == 100
     assert durable.shared_path(spark, "x").startswith(folder)
     assert "Scan ExistingRDD" in stored._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spread_touches_narrow_scans_only(spark):
+    cores = spark.sparkContext.defaultParallelism
+    narrow, wide = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, cores + 3)
+    assert layout.spread(narrow).rdd.getNumPartitions() == cores
+    assert layout.spread(wide) is wide
+    assert layout.spread(narrow).count() == 100
