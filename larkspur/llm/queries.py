@@ -94,4 +94,38 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_substring_dedup": r"""
+        WITH split AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+            FROM documents),
+        places AS (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 12)) AS i FROM split),
+        windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS win FROM places),
+        firsts AS (SELECT win, min(doc_id) AS first_id FROM windows GROUP BY win),
+        later AS (
+            SELECT doc_id, list(i) AS starts FROM windows JOIN firsts USING (win)
+            WHERE doc_id > first_id GROUP BY doc_id),
+        gone AS (
+            SELECT doc_id, list_distinct(flatten(list_transform(starts, lambda i: generate_series(i, i + 12)))) AS cut
+            FROM later)
+        SELECT s.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(cut), 0)::BIGINT AS n_removed,
+               sha256(array_to_string(list_filter(ws, lambda x, i: NOT list_contains(coalesce(cut, []), i)), ' ')) AS kept_sha256
+        FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id""",
+    "op3_warc": """
+        WITH own AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+        top AS (SELECT digest, max(page_id) AS top_id FROM own WHERE n >= 1000 GROUP BY digest)
+        SELECT page_id, n AS payload_bytes, own.digest AS payload_digest,
+               CASE WHEN page_id < top_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id < top_id THEN top_id END AS refers_to
+        FROM own LEFT JOIN top ON own.digest = top.digest AND n >= 1000""",
+    "op6_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND NOT list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)))),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS "rank" FROM scored)
+        SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 20""",
+}

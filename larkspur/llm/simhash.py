@@ -77,8 +77,8 @@ def links(prints: DataFrame, bits: int = 2, segments: int = SEGMENTS, crowd: int
 
     `prints` has one long column `fp` of distinct values.
     """
-    if not 0 <= bits < segments or 64 % segments:
-        raise ValueError("bits must be below the number of segments, which must divide 64")
+    if not 0 <= bits <= 2 or 64 % segments or segments <= bits:
+        raise ValueError("bits must be 0, 1 or 2; segments must divide 64")
     run, step = clean_run(bits, segments), 64 // segments
     keyed = prints.select(
         "fp", F.explode(F.array(*(F.struct(F.lit(i).alias("start"), _chain(F.col("fp"), i, run, step).alias("key")) for i in range(segments)))).alias("at")
@@ -131,33 +131,20 @@ def ring_pairs(own: np.ndarray, start: int, bits: int, segments: int, step: int)
 
 
 def _crowd_links(prints: DataFrame, bits: int) -> DataFrame:
-    """Edges inside crowds: all fingerprints within `bits` of one another share a midpoint.
+    """Edges inside crowds, with at most 65 rows for a fingerprint.
 
-    Each is filed under every value up to bits // 2 flips away.  Two under one value are
-    at most `bits` apart if that is even, so the group is linked as a star; for an
-    odd number the star would be too wide by one, and the extra flip is left to a check.
+    Each is filed under itself and every value one flip away.  Two that are within two
+    bits of one another share such a value, and any two under one value are within two
+    bits: each group is linked as a star.  For one bit, the values that are
+    fingerprints themselves are the neighbours; for none there are no pairs.
     """
-    if bits != 2:
-        return _crowd_by_check(prints, bits)
     flips = F.array(F.lit(0).cast("long"), *(F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)))
     filed = prints.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("mid"))
-    heads = filed.groupBy("mid").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a < b").select("mid", "a")
-    return filed.join(heads, "mid").where("fp > a").select("a", F.col("fp").alias("b"))
-
-
-def _crowd_by_check(prints: DataFrame, bits: int) -> DataFrame:
-    """Any other distance: flip up to bits // 2 bits on one side and the rest on the other."""
-    near, far = prints.withColumn("mid", F.col("fp")), prints.withColumn("mid", F.col("fp"))
-    flips = F.array(F.lit(0).cast("long"), *(F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)))
-
-    def spread(df: DataFrame, times: int) -> DataFrame:
-        for _ in range(times):
-            df = df.select("fp", "mid", F.explode(flips).alias("flip")).select("fp", F.col("mid").bitwiseXOR(F.col("flip")).alias("mid"))
-        return df.distinct()
-
-    left = spread(near, bits // 2).select("mid", F.col("fp").alias("a"))
-    right = spread(far, bits - bits // 2).select("mid", F.col("fp").alias("b"))
-    return left.join(right, "mid").where("a < b").select("a", "b").distinct()
+    if bits == 2:
+        heads = filed.groupBy("mid").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a < b").select("mid", "a")
+        return filed.join(heads, "mid").where("fp > a").select("a", F.col("fp").alias("b"))
+    near = filed.join(prints.select(F.col("fp").alias("mid")), "mid") if bits else filed
+    return near.where("fp < mid").where(F.lit(bits > 0)).select(F.col("fp").alias("a"), F.col("mid").alias("b"))
 
 
 def grouped(df: DataFrame, key: str = "doc_id", text: str = "text", bits: int = 2, width: int = 3) -> DataFrame:
