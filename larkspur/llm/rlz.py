@@ -24,7 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,25 +32,36 @@ from pyspark.sql import types as T
 from larkspur.llm import common
 
 WIDTH = 13
-ANCHOR = 5
-_MEMO = 200_000
+ANCHOR = 6
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_PLACE = np.uint64((1 << 28) - 1)
+_LEVEL = 3
 
 
-class WordHashes(dict):
-    """64-bit hash of each word, remembered for up to `_MEMO` words."""
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hash of each word, from one running polynomial sum over the bytes."""
+    raw = np.frombuffer(text, dtype=np.uint8)
+    space = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    edges = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).astype(np.int8)))
+    starts, ends = edges[0::2], edges[1::2]
+    power, inverse = _powers(len(raw) + 1)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[: len(raw)])))
+    out = (sums[ends] - sums[starts]) * inverse[starts]
+    out ^= out >> np.uint64(31)
+    out *= np.uint64(0x94D049BB133111EB)
+    return out ^ (out >> np.uint64(29))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _MEMO:
-            self.clear()
-        got = xxhash.xxh64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = got
-        return got
 
+_POWERS: list[np.ndarray] = []
 
-def hashed(found: list[bytes], memo: WordHashes) -> np.ndarray:
-    return np.fromiter(map(memo.__getitem__, found), dtype=np.uint64, count=len(found))
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse modulo 2**64, kept for the longest text so far."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = max(1 << 16, 1 << n.bit_length())
+        base, back = np.uint64(0xD1342543DE82EF95), np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
+        _POWERS[:] = [np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(size - 1, x)))) for x in (base, back)]
+    return _POWERS[0], _POWERS[1]
 
 
 def run_hashes(values: np.ndarray, width: int) -> np.ndarray:
@@ -58,22 +69,38 @@ def run_hashes(values: np.ndarray, width: int) -> np.ndarray:
     n = len(values) - width + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    out = np.zeros(n, dtype=np.uint64)
-    for k in range(width):
-        out = out * _ODD + values[k : k + n]
-        out ^= out >> np.uint64(29)
+    out = values[:n].copy()
+    for k in range(1, width):
+        out *= _ODD
+        out += values[k : k + n]
+    out ^= out >> np.uint64(29)
     out *= np.uint64(0xBF58476D1CE4E5B9)
     return out ^ (out >> np.uint64(32))
 
 
+def least_runs(runs: np.ndarray, span: int) -> np.ndarray:
+    """For every `span` consecutive runs the place of the least, leftmost on ties.
+
+    A run's rank is the upper part of its hash with its place below, so that one minimum
+    gives both; minima over spans of 1, 2, 4, ... are joined to the whole.
+    """
+    least = (runs & ~_PLACE) | np.arange(len(runs), dtype=np.uint64)
+    have = 1
+    while have < span:
+        step = min(have, span - have)
+        least = np.minimum(least[:-step], least[step:])
+        have += step
+    return (least & _PLACE).astype(np.int64)
+
+
 def anchors(values: np.ndarray, width: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(positions, hashes) of the runs that are the anchor of some window."""
     runs = run_hashes(values, size)
     span = width - size + 1  # runs in a window
     if len(runs) < span:
         return np.zeros(0, dtype=np.int64), runs[:0]
-    first = np.lib.stride_tricks.sliding_window_view(runs, span)
-    at = np.unique(np.argmin(first, axis=1) + np.arange(len(first)))
+    at = least_runs(runs, span)
+    at = at[np.concatenate(([True], at[1:] != at[:-1]))]
     return at, runs[at]
 
 
@@ -81,11 +108,10 @@ def _emit_anchors(width: int, size: int, places: bool):
     names = ["h", "doc", "pos"] if places else ["h", "doc"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
         for batch in batches:
             docs, hashes, counts, at = [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), common.as_bytes(batch.column(1)), strict=True):
-                pos, own = anchors(hashed(common.words(text), memo), width, size)
+                pos, own = anchors(word_hashes(text), width, size)
                 if not places:
                     own = np.unique(own)
                 docs.append(doc)
@@ -126,7 +152,7 @@ def _emit_passages(width: int, size: int):
         for batch in batches:
             rows: list[list] = [[] for _ in names]
             for doc, mark, text, routes in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                found = common.words((text or "").encode())
+                found = common.words(unpack(text))
                 by: dict[int, set[int]] = {}
                 for r in routes:
                     by.setdefault(r["first"], set()).add(r["pos"])
@@ -156,9 +182,9 @@ _PASSAGES = "first long, doc long, mark long, starts array<int>, parts array<str
 class Block:
     """A reference document, indexed by its anchor-sized runs of words."""
 
-    def __init__(self, found: list[bytes], memo: WordHashes, size: int):
-        self.words, self.size = found, size
-        runs = run_hashes(hashed(found, memo), size)
+    def __init__(self, text: bytes, size: int):
+        self.words, self.size = common.words(text), size
+        runs = run_hashes(word_hashes(text), size)
         self.order = np.argsort(runs, kind="stable")
         self.sorted = runs[self.order]
 
@@ -203,17 +229,16 @@ def _emit_spans(width: int, size: int):
     """(doc, mark, starts, parts, places, reference) -> spans, and windows left to settle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
         last, block = None, None
         for batch in batches:
             docs, marks, a_, b_, w_ = [], [], [], [], []
             for doc, mark, starts, parts, places, ref in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                 if block is None or ref != last:
-                    last, block = ref, Block(common.words((ref or "").encode()), memo, size)
+                    last, block = ref, Block(unpack(ref), size)
                 anchored = np.array(places, dtype=np.int64)
                 for start, text in zip(starts, parts, strict=True):
                     part = common.words(text.encode())
-                    values = hashed(part, memo)
+                    values = word_hashes(text.encode())
                     runs = run_hashes(values, size)
                     # an anchor's windows are those whose least run it is
                     seeds = (anchored[(anchored >= start) & (anchored < start + len(runs))] - start).tolist()
@@ -221,7 +246,7 @@ def _emit_spans(width: int, size: int):
                     covered = np.zeros(len(part) - width + 1, dtype=bool)
                     for a, b in spans:
                         covered[a : b - width + 1] = True
-                    least = np.argmin(np.lib.stride_tricks.sliding_window_view(runs, width - size + 1), axis=1) + np.arange(len(covered))
+                    least = least_runs(runs, width - size + 1)
                     left = np.flatnonzero(~covered & np.isin(least, seeds))
                     whole = run_hashes(values, width)
                     n = len(spans) + len(left)
@@ -247,13 +272,13 @@ def duplicate_spans(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     if not 0 < size < width:
         raise ValueError("the anchor must be shorter than the window")
     docs = df.select(common.quoted(key).cast("long").alias("doc"), common.quoted(text).alias("text")).where("doc is not null and text is not null")
+    packed = _packed(docs)
     seen = docs.mapInArrow(_emit_anchors(width, size, places=False), "h long, doc long")
     shared = seen.groupBy("h").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("h", "first")
     placed = docs.mapInArrow(_emit_anchors(width, size, places=True), "h long, doc long, pos int")
     routes = placed.join(shared, "h").where("doc > first").groupBy("doc").agg(F.collect_list(F.struct("first", "pos")).alias("routes"))
-    marked = docs.withColumn("mark", F.xxhash64("text"))
-    later = marked.join(routes, "doc").select("doc", "mark", "text", "routes").mapInArrow(_emit_passages(width, size), _PASSAGES)
-    pairs = later.join(docs.withColumnRenamed("doc", "first"), "first").select("doc", "mark", "starts", "parts", "places", "text")
+    later = packed.join(routes, "doc").select("doc", "mark", "text", "routes").mapInArrow(_emit_passages(width, size), _PASSAGES)
+    pairs = later.join(packed.select(F.col("doc").alias("ref"), "text"), later["first"] == F.col("ref")).select(later["doc"], later["mark"], "starts", "parts", "places", "text")
     found = common.stored(pairs.mapInArrow(_emit_spans(width, size), "doc long, mark long, a int, b int, window long"), "factors")
     spans = found.where("b > 0").select("doc", "mark", "a", "b")
     left = found.where("b = 0").select("doc", "mark", "a", "window")
@@ -272,12 +297,34 @@ def kept_words(found: list[bytes], spans: list[dict] | None) -> list[bytes]:
 
 
 def with_spans(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, size: int = ANCHOR, out: str = "spans") -> DataFrame:
-    """`df` with the duplicate spans of each row (null: none)."""
+    """`df` with the duplicate spans of each row (null: none).  Texts travel compressed."""
     mark = "__text_mark"
     found = duplicate_spans(df, key, text, width, size).select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark"), F.col("spans").alias("__spans"))
     own = df.drop(out).withColumn(mark, F.xxhash64(common.quoted(text)))
+    own = common.add_columns(own, [text], [("__packed", T.BinaryType())], _packing).drop(text)
     joined = own.join(found, (own[key].cast("long") == found["__doc"]) & (own[mark] == found["__mark"]), "left")
-    return joined.withColumn(out, F.col("__spans")).drop("__doc", "__mark", "__spans", mark)
+    joined = joined.withColumn(out, F.col("__spans")).drop("__doc", "__mark", "__spans", mark)
+    whole = common.add_columns(joined, ["__packed"], [(text, T.StringType())], _unpacking).drop("__packed")
+    return whole.select(*(common.quoted(c) for c in df.columns if c.lower() != out.lower()), out)
+
+
+def _packing() -> Callable:
+    pack = zstandard.ZstdCompressor(level=_LEVEL).compress
+    return lambda texts: [pa.array([None if t is None else pack(t) for t in texts.cast(pa.binary()).to_pylist()], pa.binary())]
+
+
+def _unpacking() -> Callable:
+    return lambda packed: [pa.array([None if p is None else unpack(p) for p in packed.to_pylist()], pa.binary()).cast(pa.string())]
+
+
+def unpack(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """(doc, mark, text) with the text compressed, for the two joins that move texts."""
+    marked = docs.withColumn("mark", F.xxhash64("text"))
+    return common.add_columns(marked, ["text"], [("packed", T.BinaryType())], _packing).select("doc", "mark", F.col("packed").alias("text"))
 
 
 def remove(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
