@@ -59,10 +59,9 @@ def rank_in_group(
 def _top_levels(counted: DataFrame, group: str, value: str, k: int) -> DataFrame:
     """Levels ranked up to ``k``: at most ``k`` rows per group, whatever the ties.
 
-    Groups are a fixed vocabulary (four countries), so this side may always be
-    broadcast: it holds ``k`` rows per group, never a row per item.
+    Nothing bounds the number of groups, so the adaptive planner decides on a broadcast.
     """
-    return F.broadcast(rank_levels(counted, group, value).filter(F.col("rnk") <= k))
+    return rank_levels(counted, group, value).filter(F.col("rnk") <= k)
 
 
 def top_k(counted: DataFrame, group: str, k: int, value: str = "n") -> DataFrame:

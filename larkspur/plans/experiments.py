@@ -91,8 +91,8 @@ def learning_curve(
     """
     spark = train.sparkSession
     bucket = hash_bucket(keys, seed, RESOLUTION).alias("_bucket")
-    numbered = spread(train.select("*", bucket)).persist()
-    held_out = spread(test).persist()
+    numbered = spread(train.select("*", bucket), keys).persist()
+    held_out = spread(test, keys).persist()
 
     def point(name: str, size: float) -> Callable[[], tuple]:
         def run() -> tuple:

@@ -8,20 +8,22 @@ distinct combinations instead of the raw rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
 from pyspark.ml import Estimator
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions.columns import binary_label, flags
 from larkspur.operators.durable import cut
+from larkspur.plans.experiments import in_parallel
 
 # Search grids, iterations and seed of the published analysis.
 REG_PARAMS = [0.001, 0.01, 0.1, 1, 10, 100]
@@ -142,17 +144,38 @@ def grid_search(
     parallelism: int = 4,
     keep_models: bool = False,
 ) -> CrossValidatorModel:
-    """Cross-validated search over rows that carry their fold."""
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=settings,
-        evaluator=evaluator,
-        numFolds=folds,
-        foldCol=fold_col,
-        parallelism=parallelism,
-        collectSubModels=keep_models,
+    """Cross-validated search over rows that carry their fold.
+
+    Every fold and grid point is a task of its own with its own copy of the session's
+    local properties; concurrent fits that share one copy can clear each other's entries.
+    """
+    spark, sides = rows.sparkSession, []
+    for i in range(folds):
+        held = F.col(fold_col) == i
+        sides.append((rows.filter(~held), rows.filter(held)))
+
+    def task(train: DataFrame, test: DataFrame, setting: dict) -> Callable:
+        def fit_and_score():
+            model = estimator.fit(train, setting)
+            return evaluator.evaluate(model.transform(test)), model if keep_models else None
+
+        return fit_and_score
+
+    tasks = [task(train, test, setting) for train, test in sides for setting in settings]
+    results = in_parallel(spark, tasks, parallelism)
+    metrics = np.array([metric for metric, _ in results]).reshape(folds, len(settings))
+    means = metrics.mean(axis=0)
+    best = int(means.argmax() if evaluator.isLargerBetter() else means.argmin())
+    models = [m for _, m in results]
+    kept = [models[i : i + len(settings)] for i in range(0, len(models), len(settings))]
+    searched = CrossValidatorModel(
+        estimator.fit(rows, settings[best]),
+        means.tolist(),
+        kept if keep_models else None,
+        metrics.std(axis=0).tolist(),
     )
-    return search.fit(rows)
+    searched.set(searched.estimatorParamMaps, settings)
+    return searched
 
 
 def setting_values(setting: Mapping[Param, object]) -> dict[str, str]:

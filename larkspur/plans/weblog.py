@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from larkspur.functions import logfields as lf
 from larkspur.operators.durable import cut
-from larkspur.operators.joins import join_measured
 from larkspur.operators.ranking import (
     count_rows,
     rank_in_group,
@@ -153,13 +152,12 @@ def leading_hosts(lines: DataFrame) -> DataFrame:
 def leading_host_events(lines: DataFrame) -> DataFrame:
     """The log rows of the leading hosts.
 
-    Leading hosts are hot by nature; the row-level join only shuffles the log
-    if so many hosts tie for first place that they cannot be broadcast.
+    Leading hosts are hot by nature; the adaptive planner broadcasts the few of them
+    and splits hot hosts if so many tie for first place that it cannot.
     """
     leaders = leading_hosts(lines).select("host")
-    return join_measured(named_country_rows(lines), leaders, ["host"]).select(
-        "country", "host", "ts_raw"
-    )
+    rows = named_country_rows(lines).join(leaders, "host", "left_semi")
+    return rows.select("country", "host", "ts_raw")
 
 
 def log_times(parsed: DataFrame) -> DataFrame:

@@ -151,7 +151,7 @@ def _cv_logit_elastic(s, d):
 
 
 def _validation_curve(s, d):
-    search = tabular.search_table(*_logit_search(s, d, [0.001, 0.1, 10], [0, 0.5, 1]))
+    search = tabular.search_table(*_logit_search(s, d, tabular.REG_PARAMS, tabular.ELASTIC_NET_PARAMS))
     return tabular.validation_curve(search, "regParam", "elasticNetParam")
 
 

@@ -51,17 +51,13 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def encounters(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order with lines: categorical text columns, outcome, number of lines.
-
-    The one-letter codes are compared as numbers, which keeps the aggregate a
-    hash aggregate.
-    """
+    """One row per order with lines: categorical text columns, outcome, number of lines."""
     lines = (
         table(spark, folder, "lineitem")
         .groupBy("l_orderkey")
         .agg(
-            F.char(F.max(F.ascii("l_returnflag"))).alias("returned"),
-            F.char(F.min(F.ascii("l_linestatus"))).alias("linestatus"),
+            F.max("l_returnflag").alias("returned"),
+            F.min("l_linestatus").alias("linestatus"),
             F.when(F.min("l_discount") > 0.02, "Yes").otherwise("No").alias("discounted"),
             F.count(F.lit(1)).alias("stay"),
         )
@@ -109,11 +105,10 @@ def challenge_vectors(spark: SparkSession, folder: str) -> DataFrame:
         F.bit_count(F.conv(F.substring("vec_key", 1 + 16 * half, 16), 16, -10).cast("long"))
         for half in (0, 1)
     ]
-    keys = table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"
-    )
+    parts = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    keys = table(spark, folder, "lineitem").select(*parts)
     return (
-        spread(keys)
+        spread(keys, parts)
         .select(F.md5(key).alias("vec_key"))
         .select(
             "vec_key",

@@ -215,3 +215,17 @@ def test_profile_per_group_against_plain_python(spark):
             for place, t in enumerate(sorted(sums, key=lambda t: (-round(sums[t], 6), t))[:3], 1):
                 want[fold, c, place] = (f"t{t}", pytest.approx(sums[t]))
     assert got == want
+
+
+def test_searches_side_by_side_do_not_disturb_each_other(spark):
+    rows = spark.createDataFrame(
+        [(float(i % 3), float(i % 2), i % 2) for i in range(24)], "label double, x double, fold int"
+    )
+    vectors = tabular.assemble(rows, ["x"]).persist()
+    model = tabular.poisson_model("label")
+    settings = tabular.grid({model.regParam: [0.0, 0.1]})
+    found = {
+        tuple(tabular.grid_search(model, settings, RegressionEvaluator(), vectors, folds=2, parallelism=8).avgMetrics)
+        for _ in range(20)
+    }
+    assert len(found) == 1
