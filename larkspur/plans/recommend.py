@@ -95,6 +95,28 @@ def fold_metrics(
     return spark.createDataFrame(results, FOLD_SCHEMA)
 
 
+def predictions_per_fold(
+    folded: DataFrame, folds: int = FOLDS, parallelism: int = 4
+) -> DataFrame:
+    """Ratings of every fold with a prediction from a model of the other folds, stored."""
+    shared_dir(folded.sparkSession)
+    rows = folded.persist()
+
+    def one(fold: int) -> Callable[[], DataFrame]:
+        def run() -> DataFrame:
+            train, test = fold_pair(rows, fold)
+            scored = factor_model(rows).fit(train).transform(test)
+            return cut(scored.withColumn("fold", F.lit(fold)))
+
+        return run
+
+    try:
+        parts = in_parallel(folded.sparkSession, [one(f) for f in range(folds)], parallelism)
+    finally:
+        rows.unpersist()
+    return reduce(DataFrame.unionByName, parts)
+
+
 def report(fold_rows: DataFrame, settings: Sequence[str] = tuple(SETTINGS)) -> DataFrame:
     """Fold x (metric per setting) with a mean and a std row below."""
     cells = [

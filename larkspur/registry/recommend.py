@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.operators import sampling
@@ -24,14 +27,9 @@ def _folded(s, d):
 
 
 def _als_predict(s, d):
-    """Predictions for fold 0 from a model of the other folds."""
-    rows = _folded(s, d).persist()
-    try:
-        train, test = sampling.fold_pair(rows, 0)
-        model = recommend.factor_model(rows).fit(train)
-    finally:
-        rows.unpersist()
-    return model.transform(test).select(
+    """Predictions for every fold, each from a model of the other folds."""
+    return recommend.predictions_per_fold(_folded(s, d)).select(
+        "fold",
         F.col("user_id").cast("long").alias("user_id"),
         F.col("item_id").cast("long").alias("item_id"),
         "rating",
@@ -40,8 +38,12 @@ def _als_predict(s, d):
 
 
 def _als_item_factors(s, d):
-    train, _ = sampling.fold_pair(_folded(s, d), 0)
-    return recommend.item_factors(train)
+    """Item factors of every fold's training side."""
+    factors = recommend.factors_per_fold(_folded(s, d))
+    return reduce(
+        DataFrame.unionByName,
+        [part.withColumn("fold", F.lit(fold)) for fold, part in sorted(factors.items())],
+    )
 
 
 def _finite(value):
@@ -51,13 +53,14 @@ def _finite(value):
 def _als_coverage(s, d):
     """Which test ratings get a prediction: those whose user and item were trained on."""
     return _als_predict(s, d).select(
-        "user_id", "item_id", "rating", _finite(F.col("prediction")).alias("finite")
+        "fold", "user_id", "item_id", "rating", _finite(F.col("prediction")).alias("finite")
     )
 
 
 def _als_factor_shape(s, d):
     """Items with factors, how many each has, and whether all are finite."""
     return _als_item_factors(s, d).select(
+        "fold",
         "id",
         F.size("features").alias("n_factors"),
         F.forall("features", _finite).alias("finite"),
@@ -207,13 +210,17 @@ folded AS (
   FROM ratings)"""
 
 ORACLES = {
-    "als_coverage": f"""WITH {_FOLDED}
-        SELECT user_id, item_id, rating, true AS finite FROM folded
-        WHERE fold = 0 AND user_id IN (SELECT user_id FROM folded WHERE fold <> 0)
-          AND item_id IN (SELECT item_id FROM folded WHERE fold <> 0)""",
+    "als_coverage": f"""WITH {_FOLDED},
+        seen_users AS (SELECT DISTINCT user_id, fold FROM folded),
+        seen_items AS (SELECT DISTINCT item_id, fold FROM folded)
+        SELECT CAST(fold AS INTEGER) AS fold, user_id, item_id, rating, true AS finite
+        FROM folded f
+        WHERE EXISTS (SELECT 1 FROM seen_users u WHERE u.user_id = f.user_id AND u.fold <> f.fold)
+          AND EXISTS (SELECT 1 FROM seen_items i WHERE i.item_id = f.item_id AND i.fold <> f.fold)""",
     "als_factor_shape": f"""WITH {_FOLDED}
-        SELECT DISTINCT CAST(item_id AS INTEGER) AS id, 10::INTEGER AS n_factors, true AS finite
-        FROM folded WHERE fold <> 0""",
+        SELECT DISTINCT CAST(h.fold AS INTEGER) AS fold, CAST(item_id AS INTEGER) AS id,
+               10::INTEGER AS n_factors, true AS finite
+        FROM folded f JOIN (SELECT DISTINCT fold FROM folded) h ON f.fold <> h.fold""",
     "cluster_item_scores": f"""WITH {_SCORES}
         SELECT id, cluster, tag_id, CAST(relevance AS DOUBLE) AS relevance FROM item_scores""",
     "tag_scores": f"""WITH {_SCORES}
