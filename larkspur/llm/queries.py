@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bond, bpe, common, langid, mixing, rlz, simhash, spotsigs, urlrules, warc, wordpiece
+from larkspur.llm import bond, bpe, common, decontam, langid, mixing, rlz, simhash, spotsigs, urlrules, warc, wordpiece
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -86,11 +86,20 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_words", "n_tokens", "n_unknown", "most_tokens")
 
 
+def op12_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = decontam.find(docs, _table(spark, folder, "benchmark").select("item_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_substring_dedup, op3_warc, op4_url_rules, op5_language_id,
-        op6_exact_top_k, op7_spot_signatures, op8_simhash, op9_mix, op10_token_counts,
+        op6_exact_top_k, op7_spot_signatures, op8_simhash, op9_mix, op10_token_counts, op12_decontaminate,
     )
 }
 
@@ -128,4 +137,26 @@ ORACLES: dict[str, str] = {
         ranked AS (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS "rank" FROM scored)
         SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 20""",
+    "op12_decontaminate": r"""
+        WITH split AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+            FROM documents),
+        items AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+            FROM benchmark),
+        asked AS (
+            SELECT DISTINCT item_id, least(10, len(ws)) AS n, array_to_string(ws[i:i + least(10, len(ws)) - 1], ' ') AS win
+            FROM (SELECT *, unnest(generate_series(1, len(ws) - least(10, len(ws)) + 1)) AS i FROM items WHERE len(ws) > 0)),
+        sizes AS (SELECT DISTINCT n FROM asked),
+        places AS (
+            SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS win
+            FROM (SELECT doc_id, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS i FROM split, sizes)),
+        met AS (SELECT DISTINCT doc_id, item_id, n, i FROM places JOIN asked USING (n, win)),
+        hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM met) GROUP BY doc_id),
+        found AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM met) GROUP BY doc_id)
+        SELECT s.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM split s LEFT JOIN hits h ON s.doc_id = h.doc_id LEFT JOIN found f ON s.doc_id = f.doc_id""",
 }
