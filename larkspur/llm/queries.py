@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bond, bpe, common, decontam, langid, mixing, rlz, simhash, spotsigs, urlrules, warc, wordpiece
+from larkspur.llm import bond, bpe, common, decontam, langid, mixing, repair, rlz, simhash, spotsigs, urlrules, warc, wordpiece
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -86,6 +86,11 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_words", "n_tokens", "n_unknown", "most_tokens")
 
 
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    found = repair.repair(repair.damaged(_table(spark, folder, "conversations")))
+    return found.where("last").select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 def op12_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     found = decontam.find(docs, _table(spark, folder, "benchmark").select("item_id", "text"))
@@ -99,7 +104,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_substring_dedup, op3_warc, op4_url_rules, op5_language_id,
-        op6_exact_top_k, op7_spot_signatures, op8_simhash, op9_mix, op10_token_counts, op12_decontaminate,
+        op6_exact_top_k, op7_spot_signatures, op8_simhash, op9_mix, op10_token_counts, op11_repair, op12_decontaminate,
     )
 }
 
