@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bond, bpe, common, decontam, langid, mixing, repair, rlz, simhash, spotsigs, urlrules, warc, wordpiece
+from larkspur.llm import bond, bpe, common, decontam, langid, mixing, prefixes, repair, rlz, simhash, spotsigs, urlrules, warc, wordpiece
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -100,11 +100,16 @@ def op12_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixes.trie(prefixes.rebuilt(_table(spark, folder, "conversations")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_substring_dedup, op3_warc, op4_url_rules, op5_language_id,
         op6_exact_top_k, op7_spot_signatures, op8_simhash, op9_mix, op10_token_counts, op11_repair, op12_decontaminate,
+        op13_prefix_trie,
     )
 }
 
@@ -164,4 +169,45 @@ ORACLES: dict[str, str] = {
         SELECT s.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
                sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM split s LEFT JOIN hits h ON s.doc_id = h.doc_id LEFT JOIN found f ON s.doc_id = f.doc_id""",
+    "op13_prefix_trie": """
+        WITH turns AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS place,
+                   coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations WHERE conv_id IS NOT NULL),
+        sizes AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base FROM turns GROUP BY conv_id),
+        bits AS (SELECT conv_id, n, base, conv_id::VARCHAR AS s FROM sizes),
+        crc AS (
+            SELECT conv_id, n, base, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+                       generate_series(1, length(s)), lambda k: ascii(s[k])::BIGINT)), lambda a, b:
+                       list_reduce(list_prepend(xor(a, b), [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[]), lambda x, y:
+                           xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295) % 9 AS h
+            FROM bits),
+        rebuilt AS (
+            SELECT c.conv_id, t.place, role, text FROM crc c JOIN turns t ON t.conv_id = c.base AND t.place < c.h
+            UNION ALL
+            SELECT c.conv_id, t.place - h + least(h, coalesce(b.n, 0)), role, text
+            FROM crc c JOIN turns t ON t.conv_id = c.conv_id AND t.place >= c.h LEFT JOIN sizes b ON b.conv_id = c.base),
+        chains AS (
+            SELECT conv_id, place + 1 AS depth, strlen(text) AS n_bytes,
+                   string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY conv_id ORDER BY place) AS path
+            FROM rebuilt
+            UNION ALL SELECT conv_id, 0, 0, '' FROM sizes),
+        members AS (SELECT conv_id, depth, n_bytes, sha256(path) AS node FROM chains),
+        lasts AS (SELECT conv_id, max(depth) AS depth FROM members GROUP BY conv_id),
+        nodes AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(n_bytes) AS w FROM members GROUP BY node, depth),
+        kids AS (
+            SELECT up.node, count(DISTINCT m.node) AS n FROM members m JOIN members up ON up.conv_id = m.conv_id AND up.depth = m.depth - 1
+            GROUP BY up.node),
+        sums AS (
+            SELECT up.node, sum(v.w) AS saved, count(*) FILTER (WHERE k.n IS NULL) AS leaves
+            FROM nodes v JOIN members up ON up.conv_id = v.conv_id AND up.depth <= v.depth LEFT JOIN kids k ON k.node = v.node
+            GROUP BY up.node),
+        ends AS (
+            SELECT m.node, sha256(string_agg(m.conv_id::VARCHAR, ',' ORDER BY m.conv_id)) AS digest
+            FROM members m JOIN lasts l ON l.conv_id = m.conv_id AND l.depth = m.depth GROUP BY m.node)
+        SELECT v.conv_id, v.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, v.n_convs, coalesce(k.n, 0) AS n_children,
+               leaves AS n_leaves, saved::BIGINT AS saved_tokens, coalesce(digest, sha256('')) AS ends_sha256
+        FROM nodes v JOIN sums s ON s.node = v.node LEFT JOIN kids k ON k.node = v.node LEFT JOIN ends e ON e.node = v.node
+        LEFT JOIN members up ON up.conv_id = v.conv_id AND up.depth = v.depth - 1
+        LEFT JOIN nodes p ON p.node = up.node""",
 }
