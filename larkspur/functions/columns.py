@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +32,24 @@ def flags(off_values: Mapping[str, str]) -> list[Column]:
     return [flag(name, off).alias(name) for name, off in off_values.items()]
 
 
+def flag_mask(names: Sequence[str]) -> Column:
+    """Up to 63 0/1 columns as the bits of one long, the first column lowest."""
+    if len(names) > 63:
+        raise ValueError("a long holds 63 flags")
+    mask = F.lit(0).cast("long")
+    for place, name in enumerate(names):
+        mask = mask.bitwiseOR(F.shiftleft(F.col(name).cast("long"), place))
+    return mask
+
+
+def unmasked(mask: Column, names: Sequence[str]) -> list[Column]:
+    """The 0/1 columns behind ``flag_mask``."""
+    return [
+        F.shiftright(mask, place).bitwiseAND(F.lit(1).cast("long")).cast("int").alias(name)
+        for place, name in enumerate(names)
+    ]
+
+
 def binary_label(text: Column, negative: str) -> Column:
     """0.0 where the text contains ``negative``, else 1.0."""
     return F.when(text.contains(negative), 0.0).otherwise(1.0)

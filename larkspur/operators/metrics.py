@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Ranges of scores that the distinct scores of a group are dealt into.
+SCORE_RANGES = 64
+
 
 def _weighted_mean(value: Column, weight: str | None) -> Column:
     if weight is None:
@@ -43,6 +49,62 @@ def area_under_roc(
     return evaluator.evaluate(scored)
 
 
+def area_by_group(
+    scored: DataFrame,
+    groups: Sequence[str],
+    label: str,
+    score: str,
+    weight: str | None = None,
+    ranges: int = SCORE_RANGES,
+) -> DataFrame:
+    """Exact area under the ROC curve of every group, as a plan: groups, n_pos, n_neg, auc.
+
+    Rows collapse to one per distinct score before anything else.  A group's distinct
+    scores are dealt into ranges at their quantiles; running sums are taken inside a
+    range and then over the few ranges, so no task meets all scores of a group.  Where
+    the range borders lie changes nothing in the result.  Ties count half; a null score
+    takes no part; a group with one class only has a null area.  With no ``groups`` the
+    result is one row.
+    """
+    amount = F.lit(1).cast("long") if weight is None else F.col(weight)
+    positive = F.col(label) == 1
+    levels = (
+        scored.where(F.col(score).isNotNull())
+        .groupBy(*groups, F.col(score).alias("_score"))
+        .agg(
+            F.sum(F.when(positive, amount).otherwise(0)).alias("_pos"),
+            F.sum(F.when(positive, 0).otherwise(amount)).alias("_neg"),
+        )
+    )
+    shares = [k / ranges for k in range(1, ranges)]
+    borders = F.percentile_approx("_score", shares, 10 * ranges)
+    if groups:
+        limits = levels.groupBy(*groups).agg(borders.alias("_borders"))
+        limits = limits.toDF(*[f"_{c}" for c in groups], "_borders")
+        met = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in groups]
+        ranged = levels.join(limits, reduce(Column.__and__, met))
+    else:
+        ranged = levels.withColumn("_borders", levels.agg(borders).scalar())
+    below = F.size(F.filter("_borders", lambda b: b < F.col("_score")))
+    ranged = ranged.select(*groups, "_score", "_pos", "_neg", below.alias("_range"))
+    higher = Window.partitionBy(*groups, "_range").orderBy(F.desc("_score"))
+    above = F.sum("_pos").over(higher.rowsBetween(Window.unboundedPreceding, -1))
+    inside = (
+        ranged.withColumn("_won", F.col("_neg") * (F.coalesce(above, F.lit(0)) + F.col("_pos") / 2))
+        .groupBy(*groups, "_range")
+        .agg(*[F.sum(c).alias(c) for c in ("_pos", "_neg", "_won")])
+    )
+    later = Window.partitionBy(*groups).orderBy(F.desc("_range"))
+    above = F.sum("_pos").over(later.rowsBetween(Window.unboundedPreceding, -1))
+    won = inside.withColumn("_won", F.col("_won") + F.col("_neg") * F.coalesce(above, F.lit(0)))
+    product = F.sum("_pos").cast("double") * F.sum("_neg").cast("double")
+    return won.groupBy(*groups).agg(
+        F.sum("_pos").alias("n_pos"),
+        F.sum("_neg").alias("n_neg"),
+        F.when(product > 0, F.sum("_won") / product).alias("auc"),
+    )
+
+
 def row_mean(columns: list[str]) -> Column:
     """Mean over several columns of the same row."""
     total = F.col(columns[0])

@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_SHORT = (T.ByteType, T.ShortType, T.IntegerType, T.BooleanType, T.DateType, T.TimestampType)
+_WHOLE = (*_SHORT, T.LongType)
+#: Types a hash aggregate can keep in place.
+_FIXED = (*_WHOLE, T.FloatType, T.DoubleType, T.TimestampNTZType, T.DecimalType)
 
 
 def except_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -33,14 +42,47 @@ def union_by_name(upper: DataFrame, lower: DataFrame) -> DataFrame:
 def latest_per_key(
     rows: DataFrame, keys: list[str], order: list[str], values: list[str]
 ) -> DataFrame:
-    """The values of the last row per key.
+    """The values of the last row per key; nulls in ``order`` come first.
 
-    A maximum over (order, values) is kept while rows stream through each task;
-    a window would sort all rows of a hot key in one place.  ``order`` must be
-    unique per key.
+    ``order`` must be unique per key.  A whole number or time, or two of them of which the
+    first is not a long, are written as one number.  If the values are of fixed width too, each task
+    keeps the greatest number and its values per key in a hash map: nothing is sorted, and
+    one row per key and task travels.  Other values are fetched in a second step, from the
+    row of the key that holds the greatest number.  Any other order is narrowed column by
+    column: the greatest value per key, then the rows that tie on it.
     """
-    last = F.max(F.struct(*order, *values)).alias("_last")
-    return rows.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_last.{v}") for v in values])
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    if len(order) <= 2 and all(isinstance(kinds[c], _SHORT) for c in order[:-1]) and isinstance(kinds[order[-1]], _WHOLE):
+        place = reduce(
+            lambda high, low: high * F.lit(Decimal(2**64)) + low,
+            [*(_whole(c, kinds[c], -(10**18)) for c in order[:-1]), _whole(order[-1], kinds[order[-1]], -(2**63) - 1)],
+        )
+        placed = rows.select(*keys, *values, place.cast("decimal(38,0)").alias("_place"))
+        if all(isinstance(kinds[v], _FIXED) for v in values):
+            return placed.groupBy(*keys).agg(*[F.max_by(v, "_place").alias(v) for v in values])
+        return _narrowed(placed, keys, "_place").select(*keys, *values)
+    left = rows.select(*dict.fromkeys([*keys, *order, *values]))
+    for column in order:
+        left = _narrowed(left, keys, column)
+    return left.select(*keys, *values)
+
+
+def _whole(name: str, kind: T.DataType, lowest: int) -> Column:
+    """A column as a number in its own order; a null is ``lowest``, below everything else."""
+    value = F.col(name)
+    if isinstance(kind, T.TimestampType):
+        value = F.unix_micros(value)
+    elif isinstance(kind, T.DateType):
+        value = F.unix_date(value)
+    return F.coalesce(value.cast("decimal(20,0)"), F.lit(Decimal(lowest)))
+
+
+def _narrowed(rows: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """The rows that hold the greatest value of a column for their key; keys may be null."""
+    tops = rows.groupBy(*keys).agg(F.max(column)).toDF(*[f"_key_{k}" for k in keys], "_top")
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    met = reduce(Column.__and__, [*same, F.col(column).eqNullSafe(F.col("_top"))])
+    return rows.join(tops, met).select(*rows.columns)
 
 
 def update_log(

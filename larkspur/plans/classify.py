@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import (
@@ -11,14 +11,11 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions.columns import signed_label, strings_to_double
-from larkspur.plans.tabular import grid
 
 # Seed, chosen settings and search grids of the published analysis.
 SEED = 66896
@@ -90,39 +87,6 @@ def tree(**settings) -> DecisionTreeClassifier:
     )
 
 
-def forest_grid(model: RandomForestClassifier) -> list[dict]:
-    """Depth x bins x trees: 27 settings."""
-    return grid(
-        {
-            model.maxDepth: TREE_DEPTHS,
-            model.maxBins: TREE_BINS,
-            model.numTrees: FOREST_SIZES,
-        }
-    )
-
-
-def boosting_grid(model: GBTClassifier) -> list[dict]:
-    """Depth x bins x rounds: 27 settings."""
-    return grid(
-        {
-            model.maxDepth: TREE_DEPTHS,
-            model.maxBins: TREE_BINS,
-            model.maxIter: BOOSTING_ROUNDS,
-        }
-    )
-
-
-def perceptron_grid(model: MultilayerPerceptronClassifier, inputs: int) -> list[dict]:
-    """Block size x layers x iterations: 18 settings."""
-    return grid(
-        {
-            model.blockSize: PERCEPTRON_BLOCKS,
-            model.layers: [[inputs, *hidden, 2] for hidden in PERCEPTRON_LAYERS],
-            model.maxIter: PERCEPTRON_ITERATIONS,
-        }
-    )
-
-
 def curve_models(inputs: int) -> dict[str, Estimator]:
     """The three compared models under the names of the learning curve."""
     return {"RF": forest(), "GBT": boosting(), "MPC": perceptron(inputs)}
@@ -142,30 +106,3 @@ def importances(rows: DataFrame, model: Model, inputs: Sequence[str]) -> DataFra
     return rows.sparkSession.createDataFrame(
         table, "position int, feature string, importance double"
     )
-
-
-def metric_per_setting(
-    searched: CrossValidatorModel,
-    rows: DataFrame,
-    evaluators: Mapping[str, Evaluator],
-    fold_col: str = "fold",
-) -> DataFrame:
-    """Every metric of every grid point from the models of one search.
-
-    Tuning for a second metric needs no second round of fits: the fold models
-    were kept and are scored again.
-    """
-    scores = []
-    for fold, models in enumerate(searched.subModels):
-        held_out = rows.filter(F.col(fold_col) == fold).persist()
-        for point, model in enumerate(models):
-            scored = model.transform(held_out)
-            for name, evaluator in evaluators.items():
-                scores.append((name, point, fold, float(evaluator.evaluate(scored))))
-        held_out.unpersist()
-    table = rows.sparkSession.createDataFrame(
-        scores, "metric string, point int, fold int, value double"
-    )
-    return table.groupBy("metric", "point").agg(
-        F.avg("value").alias("mean_metric"), F.stddev_pop("value").alias("std_metric")
-    )

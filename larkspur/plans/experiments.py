@@ -11,7 +11,7 @@ from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.functions.hashing import RESOLUTION, hash_bucket
+from larkspur.functions.hashing import hash_share, in_fraction, threshold
 from larkspur.operators import metrics
 from larkspur.operators.layout import spread
 
@@ -63,9 +63,8 @@ def sample_sizes(
     Samples are nested, so a row belongs to the smallest size that reaches it
     and to all larger ones.
     """
-    bucket = hash_bucket(keys, seed, RESOLUTION)
     counts = rows.agg(
-        *[F.count_if(bucket < F.lit(s) * RESOLUTION).alias(f"s{i}") for i, s in enumerate(sizes)]
+        *[F.count_if(in_fraction(keys, seed, s)).alias(f"s{i}") for i, s in enumerate(sizes)]
     )
     cells = [
         F.struct(F.lit(float(s)).alias("datasize"), F.col(f"s{i}").alias("n_rows"))
@@ -82,23 +81,29 @@ def learning_curve(
     label: str,
     seed: int,
     sizes: Sequence[float] = SIZES,
-    parallelism: int = 4,
+    parallelism: int = 1,
+    expand: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    unstored: Sequence[str] = (),
 ) -> DataFrame:
     """Model x data size: rows, seconds, minutes, accuracy and AUC on ``test``.
 
-    ``train`` and ``test`` are kept in memory and disk while the models are
-    fitted; every sample is a filter over the stored bucket.
+    ``train`` and ``test`` are kept in memory and disk while the models are fitted;
+    every sample is a filter over the stored place of a row.  ``expand`` turns stored
+    rows into rows with features when they are read, and ``unstored`` columns are left out
+    once the rows are placed, so that what is kept is as small as the rows allow.
+    One fit runs at a time: fits that share the cores would slow each other down, and
+    the ``runtime`` column would say so.
     """
     spark = train.sparkSession
-    bucket = hash_bucket(keys, seed, RESOLUTION).alias("_bucket")
-    numbered = spread(train.select("*", bucket), keys).persist()
-    held_out = spread(test, keys).persist()
+    placed = spread(train, keys).select("*", hash_share(keys, seed).alias("_place"))
+    numbered = placed.drop(*unstored).persist()
+    held_out = spread(test, keys).drop(*unstored).persist()
 
     def point(name: str, size: float) -> Callable[[], tuple]:
         def run() -> tuple:
             start = time.perf_counter()
-            sample = numbered.filter(F.col("_bucket") < size * RESOLUTION)
-            scored = models[name].fit(sample).transform(held_out)
+            sample = numbered.filter(F.col("_place") < threshold(size))
+            scored = models[name].fit(expand(sample)).transform(expand(held_out))
             share = scored.agg(metrics.accuracy(label, "prediction")).first()[0]
             area = metrics.area_under_roc(scored, label)
             seconds = time.perf_counter() - start

@@ -44,7 +44,7 @@ def typed_ratings(raw: DataFrame) -> DataFrame:
     )
 
 
-def factor_model(ratings: DataFrame, blocks: int = BLOCKS, **settings) -> ALS:
+def factor_model(blocks: int = BLOCKS, **settings) -> ALS:
     """Alternating least squares over a fixed number of user and item blocks.
 
     Sums run in block order, so the number must not follow from the cluster: the
@@ -79,7 +79,7 @@ def fold_metrics(
     def one(fold: int, name: str) -> Callable[[], tuple]:
         def run() -> tuple:
             train, test = fold_pair(rows, fold)
-            scored = factor_model(rows, **settings[name]).fit(train).transform(test)
+            scored = factor_model(**settings[name]).fit(train).transform(test)
             error = scored.agg(
                 metrics.rmse("rating", "prediction"), metrics.mae("rating", "prediction")
             ).first()
@@ -105,7 +105,7 @@ def predictions_per_fold(
     def one(fold: int) -> Callable[[], DataFrame]:
         def run() -> DataFrame:
             train, test = fold_pair(rows, fold)
-            scored = factor_model(rows).fit(train).transform(test)
+            scored = factor_model().fit(train).transform(test)
             return cut(scored.withColumn("fold", F.lit(fold)))
 
         return run
@@ -130,7 +130,7 @@ def report(fold_rows: DataFrame, settings: Sequence[str] = tuple(SETTINGS)) -> D
 
 def item_factors(ratings: DataFrame, **settings) -> DataFrame:
     """Latent factors of the items, ``id`` and ``features``."""
-    return factor_model(ratings, **settings).fit(ratings).itemFactors
+    return factor_model(**settings).fit(ratings).itemFactors
 
 
 def factors_per_fold(
@@ -151,6 +151,71 @@ def factors_per_fold(
         rows.unpersist()
 
 
+def models_per_fold(
+    folded: DataFrame, folds: int = FOLDS, parallelism: int = 4, **settings
+) -> dict[int, tuple[DataFrame, DataFrame]]:
+    """User and item factors of a model of each training side, stored."""
+    shared_dir(folded.sparkSession)
+    rows = folded.persist()
+
+    def one(fold: int) -> Callable[[], tuple]:
+        def run() -> tuple:
+            model = factor_model(**settings).fit(fold_pair(rows, fold)[0])
+            return fold, (cut(model.userFactors), cut(model.itemFactors))
+
+        return run
+
+    try:
+        return dict(
+            in_parallel(folded.sparkSession, [one(f) for f in range(folds)], parallelism)
+        )
+    finally:
+        rows.unpersist()
+
+
+def normal_residuals(
+    ratings: DataFrame, users: DataFrame, items: DataFrame, rank: int, reg_param: float
+) -> DataFrame:
+    """How well each user's factors solve the normal equations of their ratings.
+
+    The last half-step of alternating least squares makes a user's factors x the solution of
+    ``(sum v v' + reg n I) x = sum r v`` over the factors v of the n rated items.  The left side
+    minus the right is ``sum (v.x - r) v + reg n x``: the product of the partial Gram matrices
+    with x, without building them.  Ratings meet the item factors last, so a user's sums
+    start in many tasks, one per range of items, and only sums of ``rank`` numbers travel.
+    Columns: id, n_ratings, residual, size (of the right side); users without ratings have none.
+    """
+    own = users.select(F.col("id").alias("user_id"), F.col("features").alias("_x"))
+    other = items.select(F.col("id").alias("item_id"), F.col("features").alias("_v"))
+    met = ratings.select("user_id", "item_id", "rating").join(own, "user_id").join(other, "item_id")
+    product = F.aggregate(
+        F.zip_with("_x", "_v", lambda x, v: x.cast("double") * v.cast("double")),
+        F.lit(0.0),
+        lambda total, term: total + term,
+    )
+    error = met.withColumn("_e", product - F.col("rating"))
+    place = [F.get("_v", F.lit(k)).cast("double") for k in range(rank)]
+    sums = error.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_ratings"),
+        *[F.sum(F.col("_e") * v).alias(f"_g{k}") for k, v in enumerate(place)],
+        *[F.sum(F.col("rating") * v).alias(f"_b{k}") for k, v in enumerate(place)],
+    )
+    placed = sums.join(own, "user_id")
+    left = [
+        F.col(f"_g{k}") + reg_param * F.col("n_ratings") * F.get("_x", F.lit(k)) for k in range(rank)
+    ]
+
+    def norm(parts):
+        return F.sqrt(reduce(lambda a, b: a + b, [p * p for p in parts]))
+
+    return placed.select(
+        F.col("user_id").alias("id"),
+        "n_ratings",
+        norm(left).alias("residual"),
+        norm([F.col(f"_b{k}") for k in range(rank)]).alias("size"),
+    )
+
+
 def fit_clusters(factors: DataFrame, k: int = CLUSTERS) -> KMeansModel:
     return KMeans(k=k, seed=SEED, featuresCol="features").fit(factors)
 

@@ -11,17 +11,17 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.functions.columns import binary_label, flags
+from larkspur.functions.columns import binary_label, flag_mask, flags, unmasked
 from larkspur.operators.durable import cut
 from larkspur.plans.experiments import in_parallel
 
@@ -33,8 +33,9 @@ SEED = 66896
 FOLDS = 3
 
 WEIGHT = "n_rows"
-ROWS_PER_PARTITION = 200_000
 FEATURES = "features"
+#: Parts of the stored combinations that every iteration of a fit reads.
+FIT_PARTS = 8
 
 
 def encode(
@@ -54,14 +55,26 @@ def collapse(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias(WEIGHT))
 
 
-def compact(collapsed: DataFrame) -> DataFrame:
-    """Collapsed rows stored once, in as few partitions as their number asks for.
+def collapse_flags(rows: DataFrame, names: Sequence[str], others: Sequence[str] = ()) -> DataFrame:
+    """Distinct combinations of 0/1 ``names`` and ``others`` with the rows behind each.
 
-    Each iteration of a fit is a job over these partitions, so a few thousand
-    combinations should not be spread over hundreds of tasks.
+    All flags travel as one long: the key of the shuffle is 8 bytes however many flags
+    there are.
     """
-    stored = cut(collapsed)
-    return stored.coalesce(1 + stored.count() // ROWS_PER_PARTITION)
+    masked = rows.select(flag_mask(names).alias("_mask"), *others)
+    counted = collapse(masked, ["_mask", *others])
+    return counted.select(*unmasked(F.col("_mask"), names), *others, WEIGHT)
+
+
+def compact(collapsed: DataFrame, parts: int = FIT_PARTS) -> DataFrame:
+    """Collapsed rows stored once, in a fixed number of parts and in one order.
+
+    Each iteration of a fit is a job over these parts, so combinations should not be spread
+    over hundreds of tasks; raise ``parts`` with their number.  Sums over rows run in the
+    same order whatever the cluster, so the fit is the same everywhere.
+    """
+    keys = collapsed.columns
+    return cut(collapsed.repartition(parts, *keys).sortWithinPartitions(*keys))
 
 
 def assemble(rows: DataFrame, inputs: Sequence[str], output: str = FEATURES) -> DataFrame:
@@ -178,6 +191,52 @@ def grid_search(
     return searched
 
 
+def optimality(
+    rows: DataFrame,
+    model: Model,
+    inputs: Sequence[str],
+    label: str,
+    prediction: Column,
+    reg_param: float,
+    elastic_net: float = 0.0,
+    per_unit_mean: bool = False,
+    weight: str = WEIGHT,
+) -> DataFrame:
+    """How far each coefficient is from the optimum of its penalised likelihood.
+
+    At the optimum the weighted gradient of the likelihood plus the L2 part of the penalty
+    lies within the L1 part: equal to it, against the coefficient's sign, where the
+    coefficient is not zero.  ``residual`` is what is left over, of the penalty as given
+    here, whatever penalty the model was fitted with.  ``rows`` hold the inputs as fitted
+    and the counts behind them.  ``per_unit_mean`` divides by the summed prediction
+    instead of the row count, the scale of a Poisson model's penalty.
+    Columns: feature, coefficient, residual, n_rows.
+    """
+    scored = model.transform(rows).select(
+        *inputs, F.col(weight).alias("_n"), F.col(label).alias("_y"), prediction.alias("_p")
+    )
+    scale = F.sum(F.col("_n") * F.col("_p")) if per_unit_mean else F.sum("_n")
+    error = F.col("_n") * (F.col("_p") - F.col("_y"))
+    cells = []
+    for name, value in zip(inputs, model.coefficients):
+        gradient = F.sum(error * F.col(name)) / scale
+        smooth = gradient + F.lit(reg_param * (1 - elastic_net) * float(value))
+        bound = reg_param * elastic_net
+        if value:
+            residual = F.abs(smooth + F.lit(bound * (1.0 if value > 0 else -1.0)))
+        else:
+            residual = F.greatest(F.abs(smooth) - F.lit(bound), F.lit(0.0))
+        cells.append(
+            F.struct(
+                F.lit(name).alias("feature"),
+                F.lit(float(value)).alias("coefficient"),
+                residual.alias("residual"),
+                F.sum("_n").alias("n_rows"),
+            )
+        )
+    return scored.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+
+
 def setting_values(setting: Mapping[Param, object]) -> dict[str, str]:
     return {param.name: str(value) for param, value in setting.items()}
 

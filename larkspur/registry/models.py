@@ -9,19 +9,14 @@ from __future__ import annotations
 
 from functools import partial, reduce
 
-from pyspark.ml.evaluation import (
-    BinaryClassificationEvaluator,
-    MulticlassClassificationEvaluator,
-    RegressionEvaluator,
-)
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.functions.hashing import RESOLUTION
 from larkspur.operators import metrics, sampling
-from larkspur.plans import classify, experiments, tabular
-from larkspur.registry.tables import ENCOUNTERS_SQL, bucket_sql
+from larkspur.plans import classify, experiments, searches, tabular
+from larkspur.registry.tables import ENCOUNTERS_SQL, bucket_sql, share_sql
 from larkspur.sources import standins
 
 SEED = tabular.SEED
@@ -54,7 +49,7 @@ def _collapsed(s, d, target, split=None):
     rows = _split(s, d)
     if split:
         rows = rows.filter(F.col("split") == split)
-    return tabular.compact(tabular.collapse(rows, [*FLAGS, target, "fold"]))
+    return tabular.compact(tabular.collapse_flags(rows, FLAGS, [target, "fold"]))
 
 
 def _scaled(s, d, split=None):
@@ -66,7 +61,7 @@ def _scaled(s, d, split=None):
 
 def _per_flag(s, d, target, model, prediction):
     """One saturated model per flag; its predictions per flag value."""
-    rows = tabular.compact(tabular.collapse(_encounters(s, d), [*FLAGS, target]))
+    rows = tabular.compact(tabular.collapse_flags(_encounters(s, d), FLAGS, [target]))
 
     def one(name):
         single = rows.select(F.col(name).alias("flag"), target, tabular.WEIGHT)
@@ -96,14 +91,76 @@ def _logit_l2(s, d):
     return _per_flag(s, d, "label", tabular.logistic_model, vector_to_array("probability")[1])
 
 
+ELASTIC = {"reg_param": 0.01, "elastic_net": 0.5}
+#: What may be left of a coefficient's optimality condition after the last iteration.
+TOLERANCE = 1e-6
+
+
+def _positive():
+    """Predicted probability of the positive label."""
+    return vector_to_array("probability")[1]
+
+
 def _logit_elastic(s, d):
+    """Mean prediction, and how many coefficients meet the optimality condition of the penalty."""
     rows = _scaled(s, d)
-    model = tabular.logistic_model("label", reg_param=0.01, elastic_net=0.5).setTol(1e-10)
-    scored = model.fit(rows).transform(rows)
-    weighted = vector_to_array("probability")[1] * F.col(tabular.WEIGHT)
-    return scored.agg(
-        F.sum(tabular.WEIGHT).alias("n_rows"),
-        F.round(F.sum(weighted) / F.sum(tabular.WEIGHT), 4).alias("mean_predicted"),
+    model = tabular.logistic_model("label", **ELASTIC).setTol(1e-12).setMaxIter(500).fit(rows)
+    at = tabular.optimality(rows, model, FLAGS, "label", _positive(), **ELASTIC)
+    weighted = _positive() * F.col(tabular.WEIGHT)
+    mean = F.round(F.sum(weighted) / F.sum(tabular.WEIGHT), 4)
+    scored = model.transform(rows).agg(F.sum(tabular.WEIGHT).alias("n_rows"), mean.alias("mean_predicted"))
+    met = at.agg(F.max("n_rows").alias("n_rows"), F.count_if(F.col("residual") < TOLERANCE).alias("n_optimal"))
+    return scored.join(met, "n_rows")
+
+
+def _wide_encoded(s, d):
+    """Encounters with one flag per medicine."""
+    off = dict.fromkeys(standins.MEDICINES, "No")
+    rows = standins.wide_encounters(s, d)
+    return tabular.encode(rows, off, "outcome", "O", keep=["encounter_id", "stay"])
+
+
+WIDE_PENALTIES = {
+    "poisson": {"reg_param": 0.01},
+    "logistic_l2": {"reg_param": 0.1},
+    "logistic_elastic": {"reg_param": 0.01, "elastic_net": 0.5},
+}
+
+
+def wide_fits(s, d, penalties=None):
+    """The three linear models over all medicines' flags: name -> (rows, model, inputs, label, prediction)."""
+    penalties = {**WIDE_PENALTIES, **(penalties or {})}
+    names, encoded = standins.MEDICINES, _wide_encoded(s, d)
+    stays = tabular.assemble(tabular.compact(tabular.collapse_flags(encoded, names, ["stay"])), names)
+    labels = tabular.compact(tabular.collapse_flags(encoded, names, ["label"]))
+    labels = tabular.assemble(tabular.scale(labels, names, tabular.sample_scale(labels, names)), names)
+
+    def fit(name):
+        if name == "poisson":
+            model = tabular.poisson_model("stay", **penalties[name]).setTol(1e-12)
+            return stays, model.fit(stays), names, "stay", F.col("prediction")
+        model = tabular.logistic_model("label", **penalties[name]).setTol(1e-12).setMaxIter(500)
+        return labels, model.fit(labels), names, "label", _positive()
+
+    found = experiments.in_parallel(s, [partial(fit, name) for name in penalties], len(penalties))
+    return dict(zip(penalties, found))
+
+
+def wide_residuals(s, d, penalties=None):
+    """Residuals of the optimality conditions of ``WIDE_PENALTIES``, whatever was fitted."""
+    parts = []
+    for name, (rows, model, names, label, prediction) in wide_fits(s, d, penalties).items():
+        at = tabular.optimality(
+            rows, model, names, label, prediction, per_unit_mean=name == "poisson", **WIDE_PENALTIES[name]
+        )
+        parts.append(at.select(F.lit(name).alias("model"), "*"))
+    return reduce(DataFrame.union, parts)
+
+
+def _glm_optimality(s, d):
+    """Whether every coefficient of the three penalised models is at its optimum."""
+    return wide_residuals(s, d).select(
+        "model", "feature", "n_rows", (F.col("residual") < TOLERANCE).alias("at_optimum")
     )
 
 
@@ -162,7 +219,7 @@ def _cv_best_params(s, d):
 def _cv_saturated(s, d):
     """Cross-validated error of one saturated model per flag; SQL can state it exactly."""
     folded = sampling.assign_folds(_encounters(s, d), ["encounter_id"], tabular.FOLDS, SEED + 1)
-    rows = tabular.compact(tabular.collapse(folded, [*FLAGS, "stay", "fold"]))
+    rows = tabular.compact(tabular.collapse_flags(folded, FLAGS, ["stay", "fold"]))
 
     def one(name):
         vectors = tabular.assemble(rows.select(name, "stay", "fold", tabular.WEIGHT), [name])
@@ -183,7 +240,7 @@ def _tree_majority(s, d):
     """A tree grown over all flag combinations predicts each one's majority."""
     long_stay = F.when(F.col("stay") >= LONG_STAY, 1.0).otherwise(0.0).alias(classify.LABEL)
     rows = tabular.compact(
-        tabular.collapse(_encounters(s, d).select(*FLAGS, long_stay), [*FLAGS, classify.LABEL])
+        tabular.collapse_flags(_encounters(s, d).select(*FLAGS, long_stay), FLAGS, [classify.LABEL])
     )
     vectors = tabular.assemble(rows, FLAGS)
     model = classify.tree().setWeightCol(tabular.WEIGHT).fit(vectors)
@@ -248,46 +305,128 @@ def _tree_importances(s, d):
     return classify.importances(train, classify.tree().fit(train), standins.BIT_COLUMNS)
 
 
-def _tree_grid(model):
-    return tabular.grid({model.maxDepth: classify.TREE_DEPTHS[:2], model.maxBins: [16, 32]})
-
-
 def _folded_bits(s, d):
     train, _ = _bit_sides(s, d)
     return sampling.assign_folds(train.drop("fold"), ["vec_id"], tabular.FOLDS, SEED + 1)
 
 
-def _cv_trees(s, d):
-    """Forest and boosting searched over the same folds."""
+#: Distinct values of an input of the bit vectors.
+BIT_VALUES = 2
+TREE_POINTS = [*searches.forest_points(), *searches.boosting_points()]
+NET_POINTS = searches.perceptron_points(len(standins.BIT_COLUMNS))
+
+
+def _searched(s, d, points):
+    """Score levels of all points over the folds of the training vectors."""
     rows = _folded_bits(s, d).persist()
-    evaluator = _accuracy_evaluator(classify.LABEL, None)
     try:
-        parts = []
-        for name, model in (("forest", classify.forest()), ("boosting", classify.boosting())):
-            search = tabular.grid_search(model, _tree_grid(model), evaluator, rows)
-            parts.append(
-                tabular.search_table(rows, search).select(F.lit(name).alias("model"), "*")
-            )
+        return searches.scored_search(rows, points, classify.LABEL, tabular.FOLDS, values=BIT_VALUES)
     finally:
         rows.unpersist()
-    return parts[0].union(parts[1])
+
+
+def _cv_points(points):
+    """Cross-validated accuracy of every grid point."""
+
+    def query(s, d):
+        found = searches.search_table(_searched(s, d, points), points)
+        return found.filter(F.col("metric") == "accuracy").drop("metric")
+
+    return query
 
 
 def _cv_by_metric(s, d):
-    """One forest search, every grid point judged by accuracy and by AUC."""
-    rows = _folded_bits(s, d).persist()
-    model = classify.forest()
-    accuracy = _accuracy_evaluator(classify.LABEL, None)
-    auc = BinaryClassificationEvaluator(
-        labelCol=classify.LABEL, rawPredictionCol="rawPrediction", numBins=0
+    """Forest, boosting and perceptron searched once, every point judged by both metrics."""
+    points = [*TREE_POINTS, *NET_POINTS]
+    return searches.search_table(_searched(s, d, points), points)
+
+
+def _linear_points():
+    poisson, logit = tabular.poisson_model("stay"), tabular.logistic_model("label")
+    return {
+        "poisson": tabular.grid({poisson.regParam: tabular.REG_PARAMS}),
+        "logistic_l2": tabular.grid({logit.regParam: tabular.REG_PARAMS}),
+        "logistic_elastic": tabular.grid(
+            {logit.regParam: tabular.REG_PARAMS, logit.elasticNetParam: tabular.ELASTIC_NET_PARAMS}
+        ),
+    }
+
+
+def _setting_text(setting):
+    return ";".join(f"{k}={v}" for k, v in sorted(tabular.setting_values(setting).items()))
+
+
+def _linear_winners(s, d):
+    """Winner, its mean over the folds and its test score for the three linear searches."""
+    scaled_test = lambda: tabular.assemble(
+        tabular.scale(_collapsed(s, d, "label", "test"), FLAGS, tabular.sample_scale(_collapsed(s, d, "label", "train"), FLAGS)), FLAGS
     )
+    work = {
+        "poisson": (lambda: _glm_search(s, d), _rmse_evaluator(), lambda: tabular.assemble(_collapsed(s, d, "stay", "test"), FLAGS)),
+        "logistic_l2": (lambda: _logit_search(s, d, tabular.REG_PARAMS), _accuracy_evaluator(), scaled_test),
+        "logistic_elastic": (
+            lambda: _logit_search(s, d, tabular.REG_PARAMS, tabular.ELASTIC_NET_PARAMS), _accuracy_evaluator(), scaled_test,
+        ),
+    }
+    tables, scores = [], []
+    for name, (search, evaluator, test) in work.items():
+        _, found = search()
+        metric = evaluator.getMetricName()
+        points = [
+            (name, metric, i, _setting_text(setting), float(mean))
+            for i, (setting, mean) in enumerate(zip(found.getEstimatorParamMaps(), found.avgMetrics))
+        ]
+        tables += points
+        scores.append((name, float(evaluator.evaluate(found.bestModel.transform(test())))))
+    columns = "model string, metric string, point int, settings string, mean_metric double"
+    chosen = searches.winners(s.createDataFrame(tables, columns))
+    return chosen.join(s.createDataFrame(scores, "model string, test_score double"), "model")
+
+
+def _search_winners(s, d):
+    """The winner of every search by every metric, with its score on the test side."""
+    points = [*TREE_POINTS, *NET_POINTS]
+    train, test = _bit_sides(s, d)
+    train, test = train.persist(), test.persist()
     try:
-        search = tabular.grid_search(
-            model, _tree_grid(model), accuracy, rows, keep_models=True
-        )
-        return classify.metric_per_setting(search, rows, {"accuracy": accuracy, "auc": auc})
+        chosen = searches.winners(searches.search_table(_searched(s, d, points), points))
+        classifiers = searches.test_scores(chosen, points, train, test, classify.LABEL)
     finally:
-        rows.unpersist()
+        train.unpersist()
+        test.unpersist()
+    return classifiers.unionByName(_linear_winners(s, d).select(*classifiers.columns))
+
+
+def _search_grids(s, d):
+    """Every point of every search with the rows it is fitted and scored on per fold."""
+    linear = [
+        (name, i, _setting_text(setting))
+        for name, settings in _linear_points().items()
+        for i, setting in enumerate(settings)
+    ]
+    others = [(p.model, p.number, p.text()) for p in [*TREE_POINTS, *NET_POINTS]]
+    points = s.createDataFrame([*linear, *others], searches.POINT_SCHEMA)
+    tabular_rows = _split(s, d).filter(F.col("split") == "train").groupBy("fold").count()
+    vectors = _folded_bits(s, d).groupBy("fold").count()
+    classifiers = F.col("model").isin("forest", "boosting", "perceptron")
+    kinds = tabular_rows.select(F.lit(False).alias("vectors"), "*").union(vectors.select(F.lit(True), "*"))
+    total = kinds.groupBy("vectors").agg(F.sum("count").alias("_all"))
+    sizes = kinds.join(total, "vectors").select(
+        "vectors", "fold", (F.col("_all") - F.col("count")).alias("n_fit"), F.col("count").alias("n_scored")
+    )
+    return points.withColumn("vectors", classifiers).join(sizes, "vectors").drop("vectors")
+
+
+def _validation_curves(s, d):
+    """The curves of the Poisson, L2 and elastic-net searches as one table."""
+    curves = [
+        tabular.validation_curve(_cv_glm(s, d), "regParam").select(F.lit("poisson").alias("model"), "*"),
+        tabular.validation_curve(_cv_logit_l2(s, d), "regParam").select(F.lit("logistic_l2").alias("model"), "*"),
+        tabular.validation_curve(_cv_logit_elastic(s, d), "regParam", "elasticNetParam").select(
+            F.lit("logistic_elastic").alias("model"), "*"
+        ),
+    ]
+    return reduce(DataFrame.union, curves)
 
 
 def challenge_sides(s, d):
@@ -305,23 +444,34 @@ def _challenge_vectors(s, d):
     return rows.select("vec_key", classify.LABEL, ones.cast("int").alias("n_ones"))
 
 
-def _learning_curve(s, d):
-    train, test = challenge_sides(s, d)
+def packed_sides(s, d):
+    """Train and test side of the same vectors, their bits in two longs."""
+    rows = classify.labelled_vectors(standins.packed_vectors(s, d), "lbl")
+    return sampling.fold_pair(
+        sampling.assign_folds(rows, ["vec_key"], BIT_FOLDS, SEED), TEST_FOLD
+    )
+
+
+def challenge_curve(s, d, models, **settings):
+    """Learning curve over packed vectors: stored are two longs, the label and the place of a row."""
+    train, test = packed_sides(s, d)
     return experiments.learning_curve(
-        train, test, classify.curve_models(standins.CHALLENGE_BITS), ["vec_key"],
-        classify.LABEL, SEED,
+        train.drop("fold"), test.drop("fold"), models, ["vec_key"], classify.LABEL, SEED,
+        expand=standins.unpacked, unstored=["vec_key"], **settings,
     )
 
 
+def _learning_curve(s, d):
+    return challenge_curve(s, d, classify.curve_models(standins.CHALLENGE_BITS))
+
+
 def _quality(s, d):
     """Whether each tree model beats the constant guess on the test vectors."""
-    train, test = challenge_sides(s, d)
+    _, test = packed_sides(s, d)
     fitted = {
         "RF": classify.forest(), "GBT": classify.boosting(), "DT": classify.tree(maxDepth=7)
     }
-    curve = experiments.learning_curve(
-        train, test, fitted, ["vec_key"], classify.LABEL, SEED, sizes=[1.0]
-    )
+    curve = challenge_curve(s, d, fitted, sizes=[1.0], parallelism=3)
     positive = F.avg(classify.LABEL)
     guess = test.agg(
         F.count(F.lit(1)).alias("n_test"), F.greatest(positive, 1 - positive).alias("guess")
@@ -335,7 +485,7 @@ def _quality(s, d):
 
 
 def _learning_curve_sizes(s, d):
-    train, _ = challenge_sides(s, d)
+    train, _ = packed_sides(s, d)
     return experiments.sample_sizes(train.select("vec_key"), ["vec_key"], SEED)
 
 
@@ -357,14 +507,31 @@ QUERIES = {
     "clf_perceptron": _predictions(lambda: classify.perceptron(len(standins.BIT_COLUMNS))),
     "clf_tree": _predictions(classify.tree),
     "tree_importances": _tree_importances,
-    "cv_trees": _cv_trees,
+    "cv_trees": _cv_points(TREE_POINTS),
+    "cv_perceptron": _cv_points(NET_POINTS),
     "cv_by_metric": _cv_by_metric,
+    "search_grids": _search_grids,
+    "search_winners": _search_winners,
+    "validation_curves": _validation_curves,
+    "flags_wide": _wide_encoded,
+    "glm_optimality": _glm_optimality,
     "challenge_vectors": _challenge_vectors,
     "learning_curve_sizes": _learning_curve_sizes,
     "learning_curve": _learning_curve,
 }
 
 
+_WIDE_SQL = """
+wide AS (
+  SELECT """ + ", ".join(
+    f"CASE WHEN count(*) FILTER (WHERE l_partkey % {len(standins.MEDICINES)} = {i}) > 0 THEN 1 ELSE 0 END AS {name}"
+    for i, name in enumerate(standins.MEDICINES)
+) + """,
+         CASE WHEN contains(o_orderstatus, 'O') THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS label,
+         o_orderkey AS encounter_id, count(*) AS stay
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey, o_orderstatus)"""
+
+
 def _group_means(target):
     parts = [
         f"SELECT '{name}' AS feature, {name} AS flag, count(*) AS n_rows, "
@@ -422,13 +589,52 @@ ORACLES = {
         SELECT datasize, count(*) AS n_rows
         FROM words, unnest({experiments.SIZES}::DOUBLE[]) AS sizes(datasize)
         WHERE {bucket_sql('vec_key', BIT_FOLDS)} <> {TEST_FOLD}
-          AND {bucket_sql('vec_key', RESOLUTION)} < datasize * {RESOLUTION}
+          AND {share_sql('vec_key', 'datasize')}
         GROUP BY datasize""",
     "glm_poisson": _group_means("stay"),
     "logit_l2": _group_means("label"),
     "logit_elastic": f"""WITH {ENCOUNTERS_SQL}
-        SELECT count(*) AS n_rows, round(avg(label), 4) AS mean_predicted FROM encounters""",
+        SELECT count(*) AS n_rows, round(avg(label), 4) AS mean_predicted,
+               {len(FLAGS)}::BIGINT AS n_optimal
+        FROM encounters""",
+    "flags_wide": f"""WITH {_WIDE_SQL} SELECT * FROM wide""",
+    "glm_optimality": f"""WITH {_WIDE_SQL}
+        SELECT model, feature, count(*) AS n_rows, true AS at_optimum
+        FROM wide, unnest({list(WIDE_PENALTIES)}) AS m(model), unnest({standins.MEDICINES}) AS f(feature)
+        GROUP BY model, feature""",
+    "search_grids": f"""WITH {ENCOUNTERS_SQL},
+        reg AS (SELECT row_number() OVER () - 1 AS i, r FROM unnest({[str(float(v)) for v in tabular.REG_PARAMS]}) AS t(r)),
+        mix AS (SELECT row_number() OVER () - 1 AS i, e FROM unnest({[str(float(v)) for v in tabular.ELASTIC_NET_PARAMS]}) AS t(e)),
+        depths AS (SELECT row_number() OVER () - 1 AS i, v FROM unnest({classify.TREE_DEPTHS}) AS t(v)),
+        bins AS (SELECT row_number() OVER () - 1 AS i, v FROM unnest({classify.TREE_BINS}) AS t(v)),
+        trees AS (SELECT row_number() OVER () - 1 AS i, v FROM unnest({classify.FOREST_SIZES}) AS t(v)),
+        rounds AS (SELECT row_number() OVER () - 1 AS i, v FROM unnest({classify.BOOSTING_ROUNDS}) AS t(v)),
+        blocks AS (SELECT row_number() OVER () - 1 AS i, v FROM unnest({classify.PERCEPTRON_BLOCKS}) AS t(v)),
+        layers AS (SELECT row_number() OVER () - 1 AS i, v FROM unnest({[str([len(standins.BIT_COLUMNS), *h, 2]) for h in classify.PERCEPTRON_LAYERS]}) AS t(v)),
+        turns AS (SELECT row_number() OVER () - 1 AS i, v FROM unnest({classify.PERCEPTRON_ITERATIONS}) AS t(v)),
+        points AS (
+          SELECT m AS model, i AS point, 'regParam=' || r AS settings, false AS vectors
+          FROM reg, unnest(['poisson', 'logistic_l2']) AS k(m)
+          UNION ALL SELECT 'logistic_elastic', reg.i * 5 + mix.i, 'elasticNetParam=' || e || ';regParam=' || r, false FROM reg, mix
+          UNION ALL SELECT 'forest', d.i * 9 + b.i * 3 + t.i,
+                 'maxBins=' || b.v || ';maxDepth=' || d.v || ';numTrees=' || t.v, true FROM depths d, bins b, trees t
+          UNION ALL SELECT 'boosting', d.i * 9 + b.i * 3 + r.i,
+                 'maxBins=' || b.v || ';maxDepth=' || d.v || ';maxIter=' || r.v, true FROM depths d, bins b, rounds r
+          UNION ALL SELECT 'perceptron', b.i * 6 + l.i * 3 + t.i,
+                 'blockSize=' || b.v || ';layers=' || l.v || ';maxIter=' || t.v, true FROM blocks b, layers l, turns t),
+        folded AS (
+          SELECT false AS vectors, {bucket_sql('encounter_id', tabular.FOLDS, SEED + 1)} AS fold
+          FROM encounters WHERE {share_sql('encounter_id', 0.8)}
+          UNION ALL
+          SELECT true, {bucket_sql('vec_id', tabular.FOLDS, SEED + 1)}
+          FROM embeddings WHERE {bucket_sql('vec_id', BIT_FOLDS)} <> {TEST_FOLD}),
+        sizes AS (
+          SELECT vectors, fold, count(*) AS n, sum(count(*)) OVER (PARTITION BY vectors) AS whole
+          FROM folded GROUP BY vectors, fold)
+        SELECT model, CAST(point AS INTEGER) AS point, settings, CAST(fold AS INTEGER) AS fold,
+               CAST(whole - n AS BIGINT) AS n_fit, n AS n_scored
+        FROM points JOIN sizes USING (vectors)""",
     "refit_equals_best": f"""WITH {ENCOUNTERS_SQL}
         SELECT count(*) AS n_rows, true AS same_error FROM encounters
-        WHERE NOT {bucket_sql('encounter_id', RESOLUTION)} < 0.8 * {RESOLUTION}""",
+        WHERE NOT {share_sql('encounter_id', 0.8)}""",
 }

@@ -67,6 +67,29 @@ def _als_factor_shape(s, d):
     )
 
 
+#: Rank and penalty of the model with default settings, and the share of the right side of the
+#: normal equations that 32-bit factors may leave over.
+RANK, PENALTY, LEFT_OVER = 10, 0.1, 1e-4
+
+
+def _als_normal_equations(s, d):
+    """Users whose factors solve the normal equations of the ratings they were fitted to, per fold."""
+    folded = _folded(s, d)
+    parts = []
+    for fold, (users, items) in sorted(recommend.models_per_fold(folded).items()):
+        train, _ = sampling.fold_pair(folded, fold)
+        at = recommend.normal_residuals(train, users, items, RANK, PENALTY)
+        solved = F.col("residual") <= LEFT_OVER * F.col("size")
+        parts.append(
+            at.agg(
+                F.count(F.lit(1)).alias("n_users"),
+                F.sum("n_ratings").alias("n_ratings"),
+                F.count_if(solved).alias("n_solved"),
+            ).select(F.lit(fold).alias("fold"), "*")
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _fold_metrics(s, d):
     return recommend.fold_metrics(_folded(s, d))
 
@@ -170,6 +193,7 @@ QUERIES = {
     "als_item_factors": _als_item_factors,
     "als_coverage": _als_coverage,
     "als_factor_shape": _als_factor_shape,
+    "als_normal_equations": _als_normal_equations,
     "als_fold_metrics": _fold_metrics,
     "als_report": _als_report,
     "kmeans_assign": _kmeans_assign,
@@ -217,6 +241,11 @@ ORACLES = {
         FROM folded f
         WHERE EXISTS (SELECT 1 FROM seen_users u WHERE u.user_id = f.user_id AND u.fold <> f.fold)
           AND EXISTS (SELECT 1 FROM seen_items i WHERE i.item_id = f.item_id AND i.fold <> f.fold)""",
+    "als_normal_equations": f"""WITH {_FOLDED}
+        SELECT CAST(h.fold AS INTEGER) AS fold, count(DISTINCT user_id) AS n_users,
+               count(*) AS n_ratings, count(DISTINCT user_id) AS n_solved
+        FROM folded f JOIN (SELECT DISTINCT fold FROM folded) h ON f.fold <> h.fold
+        GROUP BY h.fold""",
     "als_factor_shape": f"""WITH {_FOLDED}
         SELECT DISTINCT CAST(h.fold AS INTEGER) AS fold, CAST(item_id AS INTEGER) AS id,
                10::INTEGER AS n_factors, true AS finite

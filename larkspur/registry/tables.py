@@ -6,11 +6,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from larkspur.functions.columns import binary_label, strings_to_double
-from larkspur.functions.hashing import RESOLUTION, hash_bucket
+from larkspur.functions.hashing import FRACTION_BITS, hash_bucket
 from larkspur.operators import metrics, sampling, sets
+from larkspur.operators.durable import shared_path
 from larkspur.operators.ranking import count_rows
 from larkspur.plans import classify, experiments, recommend, tabular
-from larkspur.sources import standins
+from larkspur.sources import sinks, standins
 from larkspur.sources.readers import table
 
 SEED = tabular.SEED
@@ -146,11 +147,20 @@ def _auc(s, d):
             F.col("n_chars").cast("double").alias("score"),
         )
     )
-    area = metrics.area_under_roc(scored, "label", "score")
-    return scored.agg(
-        F.count_if(F.col("label") == 1).alias("n_pos"),
-        F.count_if(F.col("label") == 0).alias("n_neg"),
-    ).withColumn("auc", F.lit(round(area, 6)))
+    return _rounded(metrics.area_by_group(scored, [], "label", "score"), ["auc"])
+
+
+def _auc_by_group(s, d):
+    """The same for every language and source of documents, and for both labels."""
+    documents = table(s, d, "documents").select("doc_id", "n_chars", "lang", "source")
+    judged = [F.struct(F.lit(c).alias("judged"), F.col(c).alias("label")) for c in ("quality", "toxic")]
+    scored = (
+        table(s, d, "labels")
+        .join(documents, "doc_id")
+        .select("lang", "source", "n_chars", F.inline(F.array(*judged)))
+    )
+    found = metrics.area_by_group(scored, ["judged", "lang", "source"], "label", "n_chars")
+    return _rounded(found, ["auc"])
 
 
 def _event_models(s, d):
@@ -186,6 +196,25 @@ def _update(s, d):
     return sets.update_log(log, dear, ["user_id", "event_type"], ["ts", "event_id"], ["value"])
 
 
+def _results_log(s, d):
+    """Fold errors logged by two runs, the first of them retried, compacted to a row per fold.
+
+    The first attempt of the first run fails with wrong values of half of the folds; its
+    second attempt, written twice, is right but for the even folds, which a later run corrects.
+    """
+    errors = _rounded(_fold_metrics(s, d), METRIC_COLUMNS)
+    path = shared_path(s, "results-log")
+    even = F.col("fold") % 2 == 0
+    wrong = [F.lit(-1.0).alias(c) for c in METRIC_COLUMNS]
+    broken = [F.when(even, -1.0).otherwise(F.col(c)).alias(c) for c in METRIC_COLUMNS]
+    sinks.log_run(errors.filter(even).select("fold", *wrong, F.lit(1).alias("at")), path, "first")
+    for _ in range(2):
+        sinks.log_run(errors.select("fold", *broken, F.lit(2).alias("at")), path, "first", 1)
+    sinks.log_run(errors.filter(even).withColumn("at", F.lit(3)), path, "second")
+    kept = sinks.compact_runs(s, path, shared_path(s, "results"), ["fold"], ["at"])
+    return kept.select("fold", "run", F.col("attempt").cast("int").alias("attempt"), *METRIC_COLUMNS)
+
+
 QUERIES = {
     "flags_encode": _encoded,
     "label_binary": _labelled_orders,
@@ -221,10 +250,12 @@ QUERIES = {
     "eval_rmse_mae": _rmse_mae,
     "eval_accuracy": _accuracy,
     "eval_auc": _auc,
+    "eval_auc_by_group": _auc_by_group,
     "experiment_grid": lambda s, d: experiments.experiment_grid(_event_models(s, d)),
     "param_grid": _settings,
     "results_upsert": _upsert,
     "results_update": _update,
+    "results_log": _results_log,
 }
 
 
@@ -232,6 +263,12 @@ def bucket_sql(key: str, buckets: int, seed: int = SEED) -> str:
     return f"(('0x' || substr(md5('{seed}:' || {key}), 1, 8))::BIGINT % {buckets})"
 
 
+def share_sql(key: str, fraction: str | float, seed: int = SEED) -> str:
+    """Whether a key lies in a fraction, by the first 60 bits of its hash."""
+    place = f"('0x' || substr(md5('{seed}:' || {key}), 1, {FRACTION_BITS // 4}))::BIGINT"
+    return f"({place} < floor({fraction}::DOUBLE * {2**FRACTION_BITS}::DOUBLE)::BIGINT)"
+
+
 _BITS = ", ".join(
     f"CASE WHEN embedding[{i + 1}] > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS {name}"
     for i, name in enumerate(standins.BIT_COLUMNS)
@@ -258,7 +295,7 @@ ratings AS (
 _STRATUM_SQL = "CASE o_orderstatus " + " ".join(
     f"WHEN '{k}' THEN {v}" for k, v in STRATA.items()
 ) + " ELSE 0 END"
-_CHOSEN_SQL = f"{bucket_sql('o_orderkey', RESOLUTION)} < {_STRATUM_SQL} * {RESOLUTION}"
+_CHOSEN_SQL = share_sql("o_orderkey", f"({_STRATUM_SQL})")
 
 _FOLD_METRICS_SQL = f"""
 fold_metrics AS (
@@ -297,7 +334,7 @@ ORACLES = {
         FROM embeddings, range(64) AS positions(i)""",
     "ratings_typed": f"WITH {RATINGS_SQL} SELECT user_id, item_id, rating FROM ratings",
     "sample_hash": f"""SELECT o_orderkey, o_totalprice FROM orders
-        WHERE {bucket_sql('o_orderkey', RESOLUTION)} < {SAMPLE} * {RESOLUTION}""",
+        WHERE {share_sql('o_orderkey', SAMPLE)}""",
     "sample_stratified": f"SELECT o_orderkey, o_orderstatus FROM orders WHERE {_CHOSEN_SQL}",
     "split_train_test": f"""SELECT o_orderkey, o_orderstatus,
         CASE WHEN {_CHOSEN_SQL} THEN 'train' ELSE 'test' END AS split FROM orders""",
@@ -339,6 +376,23 @@ ORACLES = {
                round(sum(pos * (below + neg / 2.0)) / CAST(sum(pos) * sum(neg) AS DOUBLE), 6)
                  AS auc
         FROM summed""",
+    "eval_auc_by_group": """WITH scored AS (
+          SELECT lang, source, n_chars, unnest(['quality', 'toxic']) AS judged,
+                 unnest([quality, toxic]) AS label
+          FROM labels JOIN documents USING (doc_id)),
+        ranked AS (
+          SELECT *, rank() OVER (PARTITION BY judged, lang, source ORDER BY n_chars)
+                 + (count(*) OVER (PARTITION BY judged, lang, source, n_chars) - 1) / 2.0 AS place
+          FROM scored),
+        sums AS (
+          SELECT judged, lang, source, count(*) FILTER (WHERE label = 1) AS n_pos,
+                 count(*) FILTER (WHERE label <> 1) AS n_neg,
+                 sum(place) FILTER (WHERE label = 1) AS places
+          FROM ranked GROUP BY judged, lang, source)
+        SELECT judged, lang, source, n_pos, n_neg,
+               CASE WHEN n_pos > 0 AND n_neg > 0 THEN
+                 round((places - n_pos * (n_pos + 1) / 2.0)::DOUBLE / (n_pos * n_neg), 6) END AS auc
+        FROM sums""",
     "experiment_grid": f"""SELECT DISTINCT event_type AS model, datasize,
         {experiments.INITIAL_RUNTIME}::DOUBLE AS runtime, 0.0::DOUBLE AS accuracy,
         0.0::DOUBLE AS auc
@@ -348,6 +402,10 @@ ORACLES = {
              unnest({tabular.ELASTIC_NET_PARAMS}::DOUBLE[]) AS e(elasticnetparam)""",
     "results_upsert": f"""SELECT {_EVENT_KEYS}, value FROM (
         SELECT *, {_NEWEST} AS place FROM events) WHERE place = 1""",
+    "results_log": f"""WITH {_FOLD_METRICS_SQL}
+        SELECT fold, CASE WHEN fold % 2 = 0 THEN 'second' ELSE 'first' END AS run,
+               CAST(fold % 2 AS INTEGER) AS attempt, {_each("round({c}, 6) AS {c}")}
+        FROM fold_metrics""",
     "results_update": f"""WITH latest AS (
           SELECT {_EVENT_KEYS}, value FROM (
             SELECT *, {_NEWEST} AS place FROM events WHERE value >= 100) WHERE place = 1)

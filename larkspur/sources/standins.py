@@ -25,6 +25,10 @@ ENCOUNTER_OFF = {
 }
 
 
+#: The text columns of ``wide_encounters``; as many as the flags of the published analysis.
+MEDICINES = [f"m{i:02d}" for i in range(23)]
+
+
 def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     """``events`` written as access-log lines, column ``value``.
 
@@ -74,6 +78,58 @@ def encounters(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def wide_encounters(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per order with lines and one text column per ``MEDICINES``: ``No``, ``Steady`` or ``Up``.
+
+    A line stands for the medicine its part number names; more than 25 pieces is ``Up``.
+    """
+    medicine, dose = F.col("l_partkey") % len(MEDICINES), F.when(F.col("l_quantity") > 25, 2).otherwise(1)
+    lines = (
+        table(spark, folder, "lineitem")
+        .groupBy("l_orderkey")
+        .agg(
+            *[F.max(F.when(medicine == i, dose)).alias(name) for i, name in enumerate(MEDICINES)],
+            F.count(F.lit(1)).alias("stay"),
+        )
+    )
+    said = [
+        F.when(F.col(name) == 2, "Up").when(F.col(name) == 1, "Steady").otherwise("No").alias(name)
+        for name in MEDICINES
+    ]
+    orders = table(spark, folder, "orders")
+    return orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"]).select(
+        F.col("o_orderkey").alias("encounter_id"), *said, F.col("o_orderstatus").alias("outcome"), "stay"
+    )
+
+
+def packed_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The vectors of ``challenge_vectors`` with their bits in two longs, ``high`` and ``low``.
+
+    Two numbers a row are read, shuffled and stored; ``unpacked`` makes the vectors where
+    a model reads them.
+    """
+    parts = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    keys = spread(table(spark, folder, "lineitem").select(*parts), parts)
+    halves = [
+        F.conv(F.substring("vec_key", 1 + 16 * half, 16), 16, -10).cast("long") for half in (0, 1)
+    ]
+    digest = keys.select(F.md5(F.concat_ws("|", *parts)).alias("vec_key"))
+    packed = digest.select("vec_key", halves[0].alias("high"), halves[1].alias("low"))
+    more = F.bit_count("high") > F.bit_count("low")
+    return packed.select("vec_key", F.when(more, "1").otherwise("-1").alias("lbl"), "high", "low")
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    """``high`` and ``low`` as a vector of 128 bits, the highest bit first."""
+    bits = [
+        F.shiftright(F.col(word), 63 - place).bitwiseAND(F.lit(1).cast("long")).cast("double")
+        for word in ("high", "low")
+        for place in range(64)
+    ]
+    keep = [c for c in rows.columns if c not in ("high", "low")]
+    return rows.select(*keep, array_to_vector(F.array(*bits)).alias("features"))
+
+
 def bit_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """Signs of the embeddings as text columns ``b00``.. and a ``-1``/``1`` text label."""
     bits = [
@@ -88,34 +144,9 @@ def challenge_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """128-bit vectors with a ``-1``/``1`` text label, one per order line.
 
     The bits are the digest of the line's key.  The label says whether the first
-    half has more ones than the second, so models have something to learn.  A
-    narrow scan is spread while its rows are still four numbers wide.
+    half has more ones than the second, so models have something to learn.
     """
-    key = F.concat_ws("|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    digit_bits = F.array(
-        *[F.array(*[F.lit(float(d >> shift & 1)) for shift in (3, 2, 1, 0)]) for d in range(16)]
-    )
-    bits = F.flatten(
-        F.transform(
-            F.split("vec_key", ""),
-            lambda digit: F.get(digit_bits, F.instr(F.lit("0123456789abcdef"), digit) - 1),
-        )
-    )
-    ones = [
-        F.bit_count(F.conv(F.substring("vec_key", 1 + 16 * half, 16), 16, -10).cast("long"))
-        for half in (0, 1)
-    ]
-    parts = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
-    keys = table(spark, folder, "lineitem").select(*parts)
-    return (
-        spread(keys, parts)
-        .select(F.md5(key).alias("vec_key"))
-        .select(
-            "vec_key",
-            F.when(ones[0] > ones[1], "1").otherwise("-1").alias("lbl"),
-            array_to_vector(bits).alias("features"),
-        )
-    )
+    return unpacked(packed_vectors(spark, folder))
 
 
 def ratings(spark: SparkSession, folder: str) -> DataFrame:

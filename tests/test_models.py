@@ -10,7 +10,7 @@ from larkspur.plans import classify, experiments, recommend, tabular
 from larkspur.operators import sampling
 from larkspur.registry import models
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import functions as F
 
@@ -73,14 +73,10 @@ def test_collapsed_poisson_search_equals_the_raw_search(raw):
 
 
 def test_full_grids_have_the_published_sizes():
-    forest, boosting, net = classify.forest(), classify.boosting(), classify.perceptron(128)
     logit = tabular.logistic_model("label")
     assert len(tabular.grid({logit.regParam: tabular.REG_PARAMS})) == 6
     assert len(tabular.grid({logit.regParam: tabular.REG_PARAMS,
                              logit.elasticNetParam: tabular.ELASTIC_NET_PARAMS})) == 30
-    assert len(classify.forest_grid(forest)) == 27
-    assert len(classify.boosting_grid(boosting)) == 27
-    assert len(classify.perceptron_grid(net, 128)) == 18
 
 
 def test_validation_curve_splits_series(spark):
@@ -115,23 +111,6 @@ def test_classifiers_learn_and_learning_curve_has_every_point(sides):
         assert row.runtime_min == pytest.approx(row.runtime / 60)
 
 
-def test_metric_per_setting_agrees_with_the_search(sides):
-    train, _ = sides
-    rows = sampling.assign_folds(train.drop("fold"), ["vec_key"], 2, 9).cache()
-    model = classify.forest(numTrees=3)
-    grid = tabular.grid({model.maxDepth: [2, 3]})
-    accuracy = models._accuracy_evaluator(classify.LABEL, None)
-    auc = BinaryClassificationEvaluator(labelCol=classify.LABEL)
-    search = tabular.grid_search(model, grid, accuracy, rows, folds=2, keep_models=True)
-    table = classify.metric_per_setting(search, rows, {"accuracy": accuracy, "auc": auc})
-    got = {(r.metric, r.point): (r.mean_metric, r.std_metric) for r in table.collect()}
-    assert len(got) == 4
-    for point in (0, 1):
-        assert got["accuracy", point] == pytest.approx(
-            (search.avgMetrics[point], search.stdMetrics[point])
-        )
-
-
 def test_tree_importances_cover_all_inputs_and_sum_to_one(spark):
     rows = queries()["tree_importances"](spark, SMALL).collect()
     assert len(rows) == 64 and sum(r.importance for r in rows) == pytest.approx(1.0)
