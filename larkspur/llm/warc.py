@@ -28,6 +28,8 @@ from larkspur.llm import common
 LINES = 1000
 #: Parts of the index at most; the first keys of the parts are all that the driver holds.
 PARTS = 4096
+#: Captures of an index part, about, until there are PARTS of them.
+PART_CAPTURES = 4096
 LEAST_REVISIT = 1000
 LEVEL = 3
 _STRETCH = 16 << 20
@@ -156,8 +158,7 @@ def _captures(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 def index(captures: DataFrame, folder: str, lines: int = LINES, parts: int = PARTS) -> list[tuple[str, str]]:
     """Write the capture index below `folder`; returns (first key, file) of each part, sorted."""
-    spark = captures.sparkSession
-    wanted = min(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    wanted = max(1, min(parts, captures.count() // PART_CAPTURES))
     ordered = captures.repartitionByRange(wanted, "key", "page", "file", "offset").sortWithinPartitions("key", "page", "file", "offset")
     made = common.stored(ordered.mapInArrow(_write_index(folder, lines), "first_key string, file string"), "parts")
     return sorted((r.first_key, r.file) for r in made.collect())
@@ -218,7 +219,7 @@ def find(spark: SparkSession, parts: list[tuple[str, str]], urls: DataFrame, url
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(at, pa.string())], names=["key", "part"])
 
     asked = urls.select(common.quoted(url).alias("url")).mapInArrow(to_parts, "key string, part string").distinct()
-    return asked.repartition("part").sortWithinPartitions("part", "key").mapInArrow(_search_part, _CAPTURES)
+    return asked.repartition(max(1, len(parts)), "part").sortWithinPartitions("part", "key").mapInArrow(_search_part, _CAPTURES)
 
 
 def _search_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,7 +282,10 @@ def read(captures: DataFrame, payloads: bool = True) -> DataFrame:
         if f is not None:
             f.close()
 
-    dealt = captures.withColumn("stretch", F.expr(f"offset div {_STRETCH}")).repartition("file", "stretch").sortWithinPartitions("file", "offset")
+    found = common.stored(captures, "found")
+    # a given number of tasks: what they read is the records, not the few bytes of these rows
+    tasks = -(-(found.agg(F.sum("length")).first()[0] or 0) // _STRETCH)
+    dealt = found.withColumn("stretch", F.expr(f"offset div {_STRETCH}")).repartition(max(1, tasks), "file", "stretch").sortWithinPartitions("file", "offset")
     return dealt.select("file", "offset", "length").mapInArrow(run, _RECORDS)
 
 
