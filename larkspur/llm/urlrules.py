@@ -9,6 +9,7 @@ Fixed (host, path) rules go before: the longest that fits decides alone.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -21,6 +22,8 @@ from pyspark.sql import types as T
 from larkspur.llm import common
 
 SUPPORT, CONFIDENCE = 0.002, 0.8
+#: Bad rows that a rule must hold on, however few rows there are.
+LEAST_ROWS = 20
 BAD, GOOD = "!bad", "!good"
 ALLOW, BLOCK = "allow", "block"
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -50,12 +53,18 @@ def tokens(url: str | None) -> list[str]:
     return sorted(out)
 
 
-def mine(labelled: DataFrame, url: str = "url", bad: str = "bad", support: float = SUPPORT, confidence: float = CONFIDENCE) -> list[tuple[str, ...]]:
+def mine(labelled: DataFrame, url: str = "url", bad: str = "bad", support: float = SUPPORT, confidence: float = CONFIDENCE, least: int = LEAST_ROWS) -> list[tuple[str, ...]]:
     """Token combinations that mark bad pages, from rows with a URL and a 0/1 label.
 
-    Rows without a label or tokens teach nothing; without bad rows there are no rules.  The
-    number of rules is bounded by the support, whatever the number of pages.
+    A rule holds on at least `least` bad rows and at least the share `support` of all rows.  Single
+    tokens are judged by counts; those that are rules take no part in combinations, which they would
+    only repeat, nor do tokens that are too rare among bad rows.  Tokens that occur on exactly the
+    same URLs (the query keys of one template) are mined as one of them, the least.  FP-growth then
+    mines what is left, bad rows marked; confidences are joined and rules filtered in Spark, so the
+    driver gets rules only.  Rows without a label or tokens teach nothing; without bad rows there
+    are no rules; repeated rows count as often as they occur.
     """
+
     def make():
         def work(urls: pa.Array) -> list[pa.Array]:
             return [pa.array([tokens(u) for u in urls.to_pylist()], pa.list_(pa.string()))]
@@ -64,16 +73,40 @@ def mine(labelled: DataFrame, url: str = "url", bad: str = "bad", support: float
 
     known = labelled.select(common.quoted(url).alias("url"), common.quoted(bad).cast("int").alias("label")).where("label is not null")
     items = common.add_columns(known, ["url"], [("tokens", T.ArrayType(T.StringType()))], make).where("size(tokens) > 0")
-    mark = F.when(F.col("label") > 0, F.lit(BAD)).otherwise(F.lit(GOOD))
-    baskets = common.stored(items.select(F.array_append("tokens", mark).alias("items")), "url-items")
-    if baskets.isEmpty():
-        return []
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
-    rules = model.associationRules.where((F.col("consequent")[0] == BAD) & ~F.array_contains("antecedent", GOOD))
-    found = [(tuple(sorted(r.antecedent)), r.confidence) for r in rules.select("antecedent", "confidence").collect()]
+    rows = common.stored(items.select(F.xxhash64("url").alias("page"), F.monotonically_increasing_id().alias("row"), (F.col("label") > 0).alias("bad"), "tokens"), "url-items")
+    n = rows.count()
+    need = max(least, math.ceil(support * n))
+    single = rows.select("page", "row", "bad", F.explode("tokens").alias("token"))
+    counts = single.groupBy("token").agg(
+        F.count_if("bad").alias("n_bad"), F.count(F.lit(1)).alias("n"),
+        F.bit_xor("page").alias("same"), F.sum(F.col("page").bitwiseAND(0xFFFFFFFF)).alias("alike"),
+    )
+    counts = common.stored(counts.where(F.col("n_bad") >= need), "url-tokens")
+    sure = F.col("n_bad") >= confidence * F.col("n")
+    found = [((r.token,), r.n_bad / r.n) for r in counts.where(sure).collect()]
+    mixed = counts.where(~sure).groupBy("n_bad", "n", "same", "alike").agg(F.min("token").alias("token")).select("token")
+    baskets = single.join(mixed, "token").groupBy("row").agg(F.collect_set("token").alias("tokens"), F.first("bad").alias("bad"))
+    baskets = common.stored(baskets.select(F.when(F.col("bad"), F.array_append("tokens", BAD)).otherwise(F.col("tokens")).alias("items")), "url-baskets")
+    left = baskets.count()
+    if left:
+        frequent = FPGrowth(itemsCol="items", minSupport=min(1.0, (need - 0.5) / left)).fit(baskets).freqItemsets
+        frequent = common.stored(frequent.select(F.array_sort("items").alias("items"), "freq"), "url-itemsets")
+        marked = frequent.where(F.array_contains("items", BAD) & (F.size("items") > 2))
+        marked = marked.select(F.array_remove("items", BAD).alias("items"), F.col("freq").alias("n_bad"))
+        confident = marked.join(frequent, "items").where(F.col("n_bad") >= confidence * F.col("freq"))
+        found += [(tuple(r["items"]), r.n_bad / r.freq) for r in confident.collect()]
     return prune(found)
 
 
+def tried(labelled: DataFrame, mined: list[tuple[str, ...]], url: str = "url", bad: str = "bad") -> DataFrame:
+    """What mined rules do on labelled rows, best rows they were not mined from: n_rows, n_bad, n_matched, n_right."""
+    judged = judge(labelled.where(common.quoted(bad).isNotNull()).select(common.quoted(url).alias("url"), (common.quoted(bad) > 0).alias("is_bad")), mined, [])
+    hit = F.col("n_matched") > 0
+    return judged.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("is_bad").alias("n_bad"), F.count_if(hit).alias("n_matched"), F.count_if(hit & F.col("is_bad")).alias("n_right")
+    )
+
+
 def prune(found: list[tuple[tuple[str, ...], float]]) -> list[tuple[str, ...]]:
     """Leave out rules that hold all tokens of a kept, shorter one: it matches wherever they do."""
     kept: list[frozenset[str]] = []
