@@ -6,11 +6,16 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Bytes of text, about, that a task works on at a time.
+SLICE_BYTES = 4 << 20
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach: the session's checkpoint folder.
@@ -50,24 +55,49 @@ def add_columns(
     """Add columns worked out in Python from Arrow batches, without a shuffle.
 
     `make` runs once per task and gives the function that turns the input columns
-    of a batch into the new ones.  Columns of `df` that bear a new column's name
-    (in any case) are replaced.
+    of a batch into the new ones.  A batch is cut into slices of about SLICE_BYTES of input
+    text, so what a task holds does not follow from the length of the texts in a batch.
+    Columns of `df` that bear a new column's name (in any case) are replaced.
     """
     taken = {name.lower() for name, _ in fields}
     kept = [f for f in df.schema.fields if f.name.lower() not in taken]
     wanted = list(dict.fromkeys([*(f.name for f in kept), *inputs]))
-    schema = T.StructType(kept + [T.StructField(n, t) for n, t in fields])
-    names = schema.names
+    columns = kept + [T.StructField(n, t) for n, t in fields]
+    # plain names inside, as names with dots cannot be handed to the map
+    names = [f"c{i}" for i in range(len(columns))]
+    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, columns, strict=True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole, [wanted.index(c) for c in inputs])):
             if batch.num_rows:
                 new = work(*(batch.column(wanted.index(c)) for c in inputs))
                 old = [batch.column(i) for i in range(len(kept))]
                 yield pa.RecordBatch.from_arrays(old + new, names=names)
 
-    return df.select(*(quoted(c) for c in wanted)).mapInArrow(run, schema)
+    plain = df.select(*(quoted(c).alias(f"c{i}") for i, c in enumerate(wanted)))
+    return plain.mapInArrow(run, schema).toDF(*(f.name for f in columns))
+
+
+def sliced(batch: pa.RecordBatch, columns: list[int]) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about SLICE_BYTES of the given columns' text, one row at least."""
+    sizes = np.zeros(batch.num_rows, np.int64)
+    for i in columns:
+        kind = batch.column(i).type
+        if pa.types.is_string(kind) or pa.types.is_binary(kind):
+            sizes += pc.fill_null(pc.binary_length(batch.column(i)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes) // SLICE_BYTES
+    edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), batch.num_rows]
+    for a, b in zip(edges, edges[1:]):
+        yield batch.slice(a, b - a)
+
+
+def unused(df: DataFrame, base: str) -> str:
+    """A column name that `df` does not bear, in any case."""
+    name, taken = f"__{base}", {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def quoted(name: str) -> Column:
