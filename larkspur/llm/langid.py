@@ -71,9 +71,10 @@ class Model:
     threshold: float = 0.0
 
     def logits(self, buckets: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
-        rows = self.embeddings[buckets]
-        mean = rows.mean(axis=0) if weights is None else weights @ rows
-        return mean @ self.layer + self.bias
+        if weights is None:
+            buckets, counts = np.unique(buckets, return_counts=True)
+            weights = (counts / counts.sum()).astype(np.float32)
+        return weights @ self.embeddings[buckets] @ self.layer + self.bias
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, calibrated score); (`und`, 0) for a text without letters."""
@@ -155,20 +156,28 @@ def fit(df: DataFrame, usable: Column, text: str = "text", label: str = "lang",
     if not picks:
         return train([])
     chosen = known.where(F.col("pick") <= picks[-1])
-    counted = chosen.mapInArrow(_counted, "pick long, label string, buckets array<int>, counts array<int>").dropDuplicates(["pick"])
-    got = sorted(counted.collect(), key=lambda r: r.pick)
-    return train([(r.label, np.array(r.buckets, np.int64), np.array(r.counts, np.int64)) for r in got])
+    counted = chosen.mapInArrow(_counted, "pick long, label string, buckets binary, counts binary").dropDuplicates(["pick", "label"])
+    got = counted.toArrow().sort_by([("pick", "ascending"), ("label", "ascending")])
+    return train(list(_trainable(got)))
+
+
+def _trainable(got: pa.Table):
+    """Rows of the fetched table, their subwords as views of its bytes."""
+    for batch in got.to_batches():
+        for label, buckets, counts in zip(*(batch.column(i) for i in (1, 2, 3)), strict=True):
+            yield label.as_py(), np.frombuffer(buckets.as_buffer(), np.uint16), np.frombuffer(counts.as_buffer(), np.int32)
 
 
 def _counted(batches):
-    for batch in batches:
-        buckets, counts = [], []
-        for text in batch.column(2).to_pylist():
-            b, c = np.unique(subwords(text), return_counts=True)
-            buckets.append(b.astype(np.int32))
-            counts.append(c.astype(np.int32))
-        kind = pa.list_(pa.int32())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(buckets, kind), pa.array(counts, kind)], names=["pick", "label", "buckets", "counts"])
+    """Subword counts as bytes: two bytes per bucket, four per count."""
+    for whole in batches:
+        for batch in common.sliced(whole, [2]):
+            buckets, counts = [], []
+            for text in batch.column(2):
+                b, c = np.unique(subwords(text.as_py()), return_counts=True)
+                buckets.append(b.astype(np.uint16).tobytes())
+                counts.append(c.astype(np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(buckets, pa.binary()), pa.array(counts, pa.binary())], names=["pick", "label", "buckets", "counts"])
 
 
 def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -184,7 +193,7 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
         own = shared.value
 
         def work(texts: pa.Array) -> list[pa.Array]:
-            got = [own.predict(t) if own.languages else (UNKNOWN, 0.0) for t in texts.to_pylist()]
+            got = [own.predict(t.as_py()) if own.languages else (UNKNOWN, 0.0) for t in texts]
             rejected = [lang == UNKNOWN or score < own.threshold for lang, score in got]
             return [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array(rejected, pa.bool_())]
 
