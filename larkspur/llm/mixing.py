@@ -1,14 +1,14 @@
 """Mixing sources to target weights by blocks of words.
 
 The texts of a source, in a fixed order, form one stream that is cut into blocks of
-`BLOCK` words.  For every output shard the number of blocks of each source is drawn from a
-multinomial over what the sources still have to give, so that each source ends at its
-target.  The k-th draw of a source is slot k; slots map to blocks through pseudorandom
+`BLOCK` words.  The blocks that a source gives in all follow from its target; how many of them
+each output shard gets is drawn from a multinomial, source by source, so that every source ends
+at its target and any task can draw its part.  The k-th draw of a source is slot k; slots map to blocks through pseudorandom
 permutations of the source's block numbers, a fresh one for every pass over the
 source, so no block is taken more than one time more often than another.  Joining the
 slots to the texts' blocks by number gives what each text contributes.
 
-Only one row per source (not per text) goes to the driver; `MOST_SOURCES` bounds them.
+Only one row per source (not per text) goes to the driver, which works out the targets.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +31,8 @@ CAP = 3
 WEIGHTS = (1, 2, 3)
 #: Parts a source's stream is laid out in; a hot source is summed over as many groups.
 PARTS = 1024
-MOST_SOURCES = 100_000
+#: Draws of a source that one task maps to blocks, about; copies of a row that one task unfolds.
+RANGE_DRAWS, COPIES = 50_000, 1024
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -55,23 +56,13 @@ def targets(sizes: list[int], weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     return out.tolist()
 
 
-def shard_counts(draws: list[int], shards: int = SHARDS, seed: int = SEED) -> np.ndarray:
-    """(shards, sources) block counts: a multinomial for each shard over what is left.
+def shard_counts(draws: int, source_no: int, shards: int = SHARDS, seed: int = SEED) -> np.ndarray:
+    """Blocks of one source that each output shard takes: a multinomial that adds up to `draws`.
 
-    A count above what a source has left is cut and the slots go on to the next shard;
-    the last shard takes all that remains, so the columns add up to `draws`.
+    It depends on the seed and the source only, so any task can work out its part of it.
     """
-    rng = np.random.default_rng(seed)
-    left = np.array(draws, dtype=np.int64)
-    out = np.zeros((shards, len(draws)), dtype=np.int64)
-    for s in range(shards - 1):
-        total = int(left.sum())
-        if total == 0:
-            break
-        out[s] = np.minimum(rng.multinomial(total // (shards - s), left / total), left)
-        left -= out[s]
-    out[shards - 1] += left
-    return out
+    rng = np.random.default_rng((seed, source_no))
+    return rng.multinomial(draws, np.full(shards, 1 / shards))
 
 
 def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -93,11 +84,11 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def sized(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", mark: str | None = None) -> DataFrame:
-    """(key, source, size[, mark]) of each row; size is its number of words (null: 0)."""
-    cols = [common.quoted(key).alias("key"), common.quoted(source).cast("string").alias("source")]
+def sized(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", mark: Column | None = None) -> DataFrame:
+    """(key, mark, source, size) of each row; size is its number of words (null: 0), mark tells rows of one key apart."""
+    mark = F.xxhash64(common.quoted(text)) if mark is None else mark
     size = F.coalesce(F.regexp_count(common.quoted(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size")
-    return df.select(*cols, size, *([common.quoted(mark).alias("mark")] if mark else [F.lit(0).cast("long").alias("mark")]))
+    return df.select(common.quoted(key).alias("key"), mark.alias("mark"), common.quoted(source).cast("string").alias("source"), size)
 
 
 class Mix:
@@ -112,61 +103,85 @@ class Mix:
         self.block, self.seed, self.shards = block, seed, shards
 
     def slots(self, spark) -> DataFrame:
-        """(shard, source_no, slot, block): one row for each block taken."""
-        counts = shard_counts(self.draws, self.shards, self.seed)
-        offsets = np.cumsum(counts, axis=0) - counts
-        blocks, seed = self.blocks, self.seed
+        """(shard, source_no, slot, block): one row for each block taken.
+
+        Work is dealt by (source, range of shards): a source of many draws has many ranges.
+        """
+        shards, seed = self.shards, self.seed
+        work = [
+            (no, blocks, draws, first, min(first + step, shards))
+            for no, (blocks, draws) in enumerate(zip(self.blocks, self.draws, strict=True)) if draws
+            for step in (-(-shards // max(1, min(shards, draws // RANGE_DRAWS))),)
+            for first in range(0, shards, step)
+        ]
         names = ["shard", "source_no", "slot", "block"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for shard in batch.column(0).to_pylist():
-                    for no in np.flatnonzero(counts[shard]).tolist():
-                        first, n = int(offsets[shard, no]), int(counts[shard, no])
-                        for a in range(first, first + n, 1 << 18):
-                            slot = np.arange(a, min(a + (1 << 18), first + n))
-                            turn, at = slot // blocks[no], slot % blocks[no]
-                            block = np.concatenate([permuted(at[turn == e], blocks[no], xxhash.xxh64_intdigest(f"{seed}:{no}:{e}")) for e in np.unique(turn).tolist()])
-                            cols = [np.full(len(slot), shard), np.full(len(slot), no, np.int32), slot, block]
-                            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
-
-        tasks = max(1, min(self.shards, sum(self.draws) // 50_000))
-        return spark.range(0, self.shards, 1, tasks).mapInArrow(run, "shard long, source_no int, slot long, block long")
+                for no, blocks, draws, first, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    counts = shard_counts(draws, no, shards, seed)
+                    start = int(counts[:first].sum())
+                    shard = np.repeat(np.arange(first, end), counts[first:end])
+                    for a in range(0, len(shard), 1 << 18):
+                        own = shard[a : a + (1 << 18)]
+                        slot = np.arange(start + a, start + a + len(own))
+                        turn, at = slot // blocks, slot % blocks
+                        block = np.concatenate([permuted(at[turn == e], blocks, xxhash.xxh64_intdigest(f"{seed}:{no}:{e}")) for e in np.unique(turn).tolist()])
+                        cols = [own, np.full(len(slot), no, np.int32), slot, block]
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
+
+        todo = spark.createDataFrame(work, "source_no int, blocks long, draws long, first int, end int")
+        return todo.repartition(max(1, min(len(work), sum(self.draws) // RANGE_DRAWS)), "source_no", "first").mapInArrow(run, "shard long, source_no int, slot long, block long")
 
     def table(self, spark) -> DataFrame:
         rows = [(i, s, n, float(t)) for i, (s, n, t) in enumerate(zip(self.names, self.sizes, self.targets, strict=True))]
         return spark.createDataFrame(rows, "source_no int, name string, source_size long, target double")
 
 
-def laid_out(df: DataFrame, block: int = BLOCK, seed: int = SEED, shards: int = SHARDS) -> tuple[DataFrame, Mix]:
+def laid_out(rows: DataFrame, block: int = BLOCK, seed: int = SEED, shards: int = SHARDS) -> tuple[DataFrame, Mix]:
     """Rows of `sized` with source_no, source_size, target and `start`, their place in the stream.
 
-    The order of a stream is by part (a hash of the key), key and size; ties are interchangeable.
+    Repeated rows are counted before anything else, so a group of copies is one row of the
+    layout; they get their places one behind the other afterwards.  The order of a stream is
+    by part (a hash of key and mark), key, mark and size.
     """
-    spark = df.sparkSession
-    rows = common.stored(df.withColumn("part", F.pmod(F.xxhash64("key", "mark"), F.lit(PARTS)).cast("int")), "sizes")
-    sums = rows.groupBy("source", "part").agg(F.sum("size").alias("words"))
-    totals = sums.groupBy("source").agg(F.sum("words").alias("words")).limit(MOST_SOURCES + 1).collect()
-    if len(totals) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    mix = Mix({r.source: r.words for r in totals}, block, seed, shards)
+    spark = rows.sparkSession
+    counted = rows.groupBy("key", "mark", "source", "size").agg(F.count(F.lit(1)).alias("n"))
+    counted = common.stored(counted.withColumn("part", F.pmod(F.xxhash64("key", "mark"), F.lit(PARTS)).cast("int")), "sizes")
+    words = F.col("size") * F.col("n")
+    sums = counted.groupBy("source", "part").agg(F.sum(words).alias("words"))
+    totals = sums.groupBy("source").agg(F.sum("words").alias("words")).toArrow().to_pydict()
+    mix = Mix(dict(zip(totals["source"], totals["words"], strict=True)), block, seed, shards)
     order = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.withColumn("base", F.coalesce(F.sum("words").over(order), F.lit(0))).select(F.col("source").alias("s"), F.col("part").alias("p"), "base")
     inside = Window.partitionBy("source", "part").orderBy("key", "mark", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    placed = counted.withColumn("before", F.coalesce(F.sum(words).over(inside), F.lit(0)))
     placed = placed.join(base, placed.source.eqNullSafe(base.s) & (placed.part == base.p))
-    placed = placed.select("key", "mark", "source", "size", (F.col("base") + F.col("before")).alias("start"))
+    placed = placed.select("key", "mark", "source", "size", "n", (F.col("base") + F.col("before")).alias("start"))
     named = mix.table(spark)
-    return placed.join(named, placed.source.eqNullSafe(named.name)).drop("name"), mix
+    return _each_copy(placed.join(named, placed.source.eqNullSafe(named.name)).drop("name")), mix
+
+
+def _each_copy(placed: DataFrame) -> DataFrame:
+    """A row per copy, with the copy's own place; many copies are dealt out before they unfold."""
+    single = placed.where("n = 1").withColumn("copy", F.lit(0).cast("long"))
+    some = placed.where("n > 1").withColumn("some", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {COPIES}"))))
+    some = some.repartition("key", "mark", "some")
+    last = F.least(F.col("n") - 1, F.col("some") * COPIES + COPIES - 1)
+    each = some.withColumn("copy", F.explode(F.sequence(F.col("some") * COPIES, last))).drop("some")
+    return single.unionByName(each).withColumn("start", F.col("start") + F.col("copy") * F.col("size"))
 
 
 def _pieces(placed: DataFrame, mix: Mix) -> DataFrame:
-    """Each row's stretches by block, with the times the block is taken: a, b are word places."""
+    """Each copy's stretches by block, with the times the block is taken: a, b are word places.
+
+    Both sides are as large as the corpus' blocks, so they are merged, whatever their size.
+    """
     block = mix.block
     end = F.col("start") + F.col("size")
-    cut = placed.where("size > 0").withColumn("block", F.explode(F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))))
+    cut = placed.where("size > 0").select("key", "mark", "source_no", "start", "size", F.explode(F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))).alias("block"))
     times = mix.slots(placed.sparkSession).groupBy("source_no", "block").agg(F.count(F.lit(1)).alias("times"))
-    joined = cut.join(times, ["source_no", "block"])
+    joined = cut.join(times.hint("merge"), ["source_no", "block"])
     a = F.greatest("start", F.col("block") * block) - F.col("start")
     b = F.least(end, (F.col("block") + 1) * block) - F.col("start")
     return joined.withColumn("a", a).withColumn("b", b)
@@ -176,7 +191,8 @@ def taken(df: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """Per row of `df`: key, size, source, source_size, target and taken (words the mix has of it).
 
     Sources are ordered by code point, null last, and weigh 1, 2, 3, 1, ...  A null or empty
-    text has size 0 and nothing is taken of it.  Repeated rows and keys keep their rows.
+    text has size 0 and nothing is taken of it.  Repeated rows and keys keep their rows; which
+    of several equal rows has which words does not matter.
     """
     placed, mix = laid_out(sized(df, key, text, source), block, seed, shards)
     placed = common.stored(placed, "streams")
@@ -191,24 +207,31 @@ def mixed(df: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
     A row comes out up to `CAP` times: its n-th copy holds the words whose block is taken n
     times or more.  A copy that holds all words keeps the text as it is, another joins
-    its words by one space; a copy without words does not appear.
+    its words by one space; a copy without words does not appear, so rows with null, empty or
+    wordless texts go.  Repeated rows are rows of their own; rows are repeated if they agree in the
+    key and in the hash of all columns.  Columns of any name are kept.
     """
-    mark = "__row_mark"
+    mark = common.unused(df, "mark")
     own = df.withColumn(mark, F.xxhash64(*(common.quoted(c) for c in df.columns)))
-    placed, mix = laid_out(sized(own, key, text, source, mark), block, seed, shards)
+    placed, mix = laid_out(sized(own, key, text, source, F.col(mark)), block, seed, shards)
+    placed = common.stored(placed, "streams")
     parts = _pieces(placed, mix).groupBy("source_no", "start", "key", "mark").agg(F.collect_list(F.struct("a", "b", "times")).alias("parts"))
-    # repeated rows have places of their own: one copy of the row takes all their parts
-    lists = parts.groupBy(F.col("key").alias("__key"), F.col("mark").alias("__mark")).agg(F.collect_list("parts").alias("__lists"))
-    joined = own.dropDuplicates([mark]).join(lists, own[key].eqNullSafe(lists["__key"]) & (own[mark] == lists["__mark"]))
-    joined = joined.select(*(own[c] for c in df.columns), F.explode("__lists").alias("__parts"))
+    lists = parts.select(F.col("key").alias("_key"), F.col("mark").alias("_mark"), "parts")
+    repeated = placed.where("copy = 1").select(F.col("key").alias("_key"), F.col("mark").alias("_mark")).distinct()
+    others = [c for c in df.columns if c != text]
+    packed = own.select(common.quoted(key).alias("own_key"), F.col(mark).alias("own_mark"), common.quoted(text).alias("own_text"), F.struct(F.lit(True), *(common.quoted(c) for c in others)).alias("others"))
+    met = packed.own_key.eqNullSafe(repeated["_key"]) & (packed.own_mark == repeated["_mark"])
+    once = packed.join(repeated, met, "left_anti").unionByName(packed.join(repeated, met, "left_semi").dropDuplicates(["own_key", "own_mark"]))
+    joined = once.join(lists, once.own_key.eqNullSafe(lists["_key"]) & (once.own_mark == lists["_mark"])).select("own_text", "others", "parts")
 
     def make():
         def work(texts: pa.Array, parts: pa.Array) -> list[pa.Array]:
             out = []
-            for t, p in zip(texts.to_pylist(), parts.to_pylist(), strict=True):
-                found = common.words((t or "").encode())
+            for t, p in zip(texts, parts, strict=True):
+                t = t.as_py() or ""
+                found = common.words(t.encode())
                 times = np.zeros(len(found), dtype=np.int64)
-                for x in p:
+                for x in p.as_py():
                     times[x["a"] : x["b"]] = x["times"]
                 copies = []
                 for n in range(1, int(times.max(initial=0)) + 1):
@@ -219,6 +242,6 @@ def mixed(df: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
         return work
 
-    many = common.add_columns(joined, [text, "__parts"], [("__copies", T.ArrayType(T.StringType()))], make)
-    done = many.withColumn("__copy", F.explode("__copies"))
-    return done.select(*((F.col("__copy").alias(c) if c == text else common.quoted(c)) for c in df.columns))
+    many = common.add_columns(joined, ["own_text", "parts"], [("copies", T.ArrayType(T.StringType()))], make)
+    done = many.select("others", F.explode("copies").alias("copy"))
+    return done.select(*(F.col("copy").alias(c) if c == text else F.col("others").getField(c).alias(c) for c in df.columns))

@@ -167,26 +167,24 @@ def grouped(df: DataFrame, key: str = "doc_id", text: str = "text", bits: int =
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", bits: int = 2, width: int = 3) -> DataFrame:
     """The rows of `df` whose key is the smallest of its group; repeated rows of it count once.
 
-    A group that only holds null keys keeps one row.
+    A group that only holds null keys keeps one row.  Rows are repeated if they agree in the key
+    and in the hash of all columns.  Columns of any name are kept.
     """
-    mark = "__row_mark"
+    mark, kept_key, kept_mark = (common.unused(df, n) for n in ("row_mark", "kept_key", "kept_mark"))
     own = df.withColumn(mark, F.xxhash64(*(common.quoted(c) for c in df.columns)))
-    slim = own.select(common.quoted(key).alias("key"), common.quoted(text).alias("text"), mark)
-    marked = common.stored(fingerprints(slim, "text", "simhash", width).select("key", mark, "simhash"), "simhash")
-    row = F.struct(F.col("key").isNull().alias("no_key"), "key", mark)
+    slim = own.select(common.quoted(key).alias("key"), common.quoted(text).alias("text"), F.col(mark).alias("mark"))
+    marked = common.stored(fingerprints(slim, "text", "simhash", width).select("key", "mark", "simhash"), "simhash")
+    row = F.struct(F.col("key").isNull().alias("no_key"), "key", "mark")
     nodes = marked.groupBy(F.col("simhash").alias("fp")).agg(F.min(row).alias("least"))
     nodes = common.stored(nodes, "simhash-nodes")
     member = components(nodes.select("fp"), links(nodes.select("fp"), bits), "fp")
     kept = member.join(nodes, "fp").groupBy("root").agg(F.min("least").alias("least"))
-    kept = kept.select("least.key", f"least.{mark}")
-    out = own.join(kept, own[key].eqNullSafe(kept["key"]) & (own[mark] == kept[mark])).select(*(own[c] for c in own.columns))
-    return _once(out, kept, marked, key, mark).drop(mark)
-
-
-def _once(out: DataFrame, kept: DataFrame, marked: DataFrame, key: str, mark: str) -> DataFrame:
-    """Drop the repeats of kept rows; only rows known to repeat are shuffled for it."""
-    many = marked.groupBy("key", mark).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col(mark).alias("many"))
-    twice = many.distinct()
-    single = out.join(twice, out[mark] == twice["many"], "left_anti")
-    repeats = out.join(twice, out[mark] == twice["many"], "left_semi").dropDuplicates([mark])
-    return single.unionByName(repeats)
+    kept = kept.select(F.col("least.key").alias(kept_key), F.col("least.mark").alias(kept_mark))
+    met = common.quoted(key).eqNullSafe(F.col(kept_key)) & (F.col(mark) == F.col(kept_mark))
+    out = own.join(kept, met).drop(kept_key, kept_mark)
+    # repeats of kept rows go; only rows known to repeat are shuffled for it
+    many = marked.groupBy("key", "mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("mark").alias(kept_mark)).distinct()
+    repeated = F.col(mark) == F.col(kept_mark)
+    single = out.join(many, repeated, "left_anti")
+    repeats = out.join(many, repeated, "left_semi").dropDuplicates([key, mark])
+    return single.unionByName(repeats).drop(mark)
