@@ -300,6 +300,37 @@ def _predictions(estimator):
     return query
 
 
+CLASSIFIERS = {
+    "forest": classify.forest,
+    "boosting": classify.boosting,
+    "perceptron": lambda: classify.perceptron(len(standins.BIT_COLUMNS)),
+    "tree": classify.tree,
+}
+
+
+def _classified_rows(s, d):
+    """Test vectors of all four classifiers: key, label, and whether prediction and probability agree."""
+    parts = []
+    for name, make in CLASSIFIERS.items():
+        rows = _predictions(make)(s, d)
+        agree = F.col("prediction") == F.when(F.col("p_positive") > 0.5, 1.0).otherwise(0.0)
+        undecided = F.col("p_positive") == 0.5
+        valid = F.col("p_positive").between(0.0, 1.0) & (agree | undecided)
+        parts.append(rows.select(F.lit(name).alias("model"), "vec_id", classify.LABEL, valid.alias("valid")))
+    return reduce(DataFrame.union, parts)
+
+
+def _importances_sum(s, d):
+    """Importances of the tree: one per input, none negative, one in total."""
+    weights = _tree_importances(s, d).agg(
+        F.count(F.lit(1)).alias("n_inputs"),
+        F.round(F.sum("importance"), 9).alias("total"),
+        F.count_if(F.col("importance") < 0).alias("n_negative"),
+    )
+    told = [F.lit(v).cast(weights.schema[n].dataType).alias(n) for n, v in weights.first().asDict().items()]
+    return _bit_sides(s, d)[0].agg(F.count(F.lit(1)).alias("n_rows"), *told)
+
+
 def _tree_importances(s, d):
     train, _ = _bit_sides(s, d)
     return classify.importances(train, classify.tree().fit(train), standins.BIT_COLUMNS)
@@ -466,12 +497,13 @@ def _learning_curve(s, d):
 
 
 def _quality(s, d):
-    """Whether each tree model beats the constant guess on the test vectors."""
+    """Whether each model beats the constant guess on the test vectors."""
     _, test = packed_sides(s, d)
     fitted = {
-        "RF": classify.forest(), "GBT": classify.boosting(), "DT": classify.tree(maxDepth=7)
+        "RF": classify.forest(), "GBT": classify.boosting(), "DT": classify.tree(maxDepth=7),
+        "MPC": classify.perceptron(standins.CHALLENGE_BITS),
     }
-    curve = challenge_curve(s, d, fitted, sizes=[1.0], parallelism=3)
+    curve = challenge_curve(s, d, fitted, sizes=[1.0], parallelism=4)
     positive = F.avg(classify.LABEL)
     guess = test.agg(
         F.count(F.lit(1)).alias("n_test"), F.greatest(positive, 1 - positive).alias("guess")
@@ -506,7 +538,9 @@ QUERIES = {
     "clf_boosting": _predictions(classify.boosting),
     "clf_perceptron": _predictions(lambda: classify.perceptron(len(standins.BIT_COLUMNS))),
     "clf_tree": _predictions(classify.tree),
+    "clf_rows": _classified_rows,
     "tree_importances": _tree_importances,
+    "importances_sum": _importances_sum,
     "cv_trees": _cv_points(TREE_POINTS),
     "cv_perceptron": _cv_points(NET_POINTS),
     "cv_by_metric": _cv_by_metric,
@@ -579,7 +613,11 @@ ORACLES = {
                  AS n_train,
                count(*) FILTER (WHERE {bucket_sql('vec_key', BIT_FOLDS)} = {TEST_FOLD}) AS n_test,
                true AS beats_guess
-        FROM words, (VALUES ('RF'), ('GBT'), ('DT')) AS models(model) GROUP BY model""",
+        FROM words, (VALUES ('RF'), ('GBT'), ('DT'), ('MPC')) AS models(model) GROUP BY model""",
+    "clf_rows": f"""SELECT model, vec_id, CASE WHEN label % 2 = 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS labels, true AS valid
+        FROM embeddings, unnest({list(CLASSIFIERS)}) AS m(model) WHERE {bucket_sql('vec_id', BIT_FOLDS)} = {TEST_FOLD}""",
+    "importances_sum": f"""SELECT count(*) AS n_rows, 64::BIGINT AS n_inputs, 1.0::DOUBLE AS total, 0::BIGINT AS n_negative
+        FROM embeddings WHERE {bucket_sql('vec_id', BIT_FOLDS)} <> {TEST_FOLD}""",
     "challenge_vectors": f"""WITH {_CHALLENGES}
         SELECT vec_key, CASE WHEN n0 + n1 > n2 + n3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
                  AS labels,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.operators import sampling
-from larkspur.operators.durable import shared_path
+from larkspur.operators.durable import cut, shared_path
 from larkspur.plans import recommend
 from larkspur.registry.tables import RATINGS_SQL, bucket_sql
 from larkspur.sources import standins
@@ -98,6 +98,28 @@ def _als_report(s, d):
     return recommend.report(_fold_metrics(s, d))
 
 
+def _als_report_checked(s, d):
+    """Rows of the report: whether each fold has all metrics and the last rows are their mean and deviation."""
+    found = cut(_fold_metrics(s, d))
+    lines = recommend.report(found)
+    names = lines.columns[1:]
+    wide = found.groupBy("fold").pivot("setting", list(recommend.SETTINGS)).agg(F.first("rmse").alias("rmse"), F.first("mae").alias("mae"))
+    stacked = wide.select("fold", *[F.col(f"{n.split('_')[1]}_{n.split('_')[0]}").alias(n) for n in names])
+    plain = stacked.agg(
+        *[F.avg(n).alias(f"{n}_mean") for n in names],
+        *[F.sqrt(F.var_samp(n)).alias(f"{n}_std") for n in names],
+    )
+    want = plain.select(
+        F.inline(F.array(*[F.struct(F.lit(kind).alias("row"), *[F.col(f"{n}_{kind}").alias(f"want_{n}") for n in names]) for kind in ("mean", "std")]))
+    ).unionByName(stacked.select(F.col("fold").cast("string").alias("row"), *[F.col(n).alias(f"want_{n}") for n in names]))
+    close = [F.abs(F.col(n) - F.col(f"want_{n}")) < 1e-9 for n in names]
+    bounded = [F.col(f"mae_{k}") <= F.col(f"rmse_{k}") + 1e-12 for k in recommend.SETTINGS]
+    ok = reduce(lambda a, b: a & b, [*close, *bounded]) if names else F.lit(False)
+    met = lines.join(want, lines["fold"] == want["row"])
+    same = reduce(lambda a, b: a & b, close)
+    return met.select("fold", F.when(F.col("fold") == "std", same).otherwise(ok).alias("right"))
+
+
 def _vectors(s, d):
     return table(s, d, "embeddings").select(
         F.col("vec_id").alias("id"), array_to_vector("embedding").alias("features")
@@ -196,6 +218,7 @@ QUERIES = {
     "als_normal_equations": _als_normal_equations,
     "als_fold_metrics": _fold_metrics,
     "als_report": _als_report,
+    "als_report_checked": _als_report_checked,
     "kmeans_assign": _kmeans_assign,
     "kmeans_roundtrip": _kmeans_roundtrip,
     "cluster_profile": _cluster_profile,
@@ -246,6 +269,9 @@ ORACLES = {
                count(*) AS n_ratings, count(DISTINCT user_id) AS n_solved
         FROM folded f JOIN (SELECT DISTINCT fold FROM folded) h ON f.fold <> h.fold
         GROUP BY h.fold""",
+    "als_report_checked": f"""WITH {_FOLDED}
+        SELECT DISTINCT fold::VARCHAR AS fold, true AS "right" FROM folded
+        UNION ALL SELECT 'mean', true UNION ALL SELECT 'std', true""",
     "als_factor_shape": f"""WITH {_FOLDED}
         SELECT DISTINCT CAST(h.fold AS INTEGER) AS fold, CAST(item_id AS INTEGER) AS id,
                10::INTEGER AS n_factors, true AS finite
