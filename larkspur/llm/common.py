@@ -67,9 +67,13 @@ def add_columns(
     names = [f"c{i}" for i in range(len(columns))]
     schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, columns, strict=True)])
 
+    small_batches(df.sparkSession)
+    places = [wanted.index(c) for c in inputs]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in (part for whole in batches for part in sliced(whole, [wanted.index(c) for c in inputs])):
+        for batch in (part for whole in batches for part in sliced(whole, places)):
+            pa.default_memory_pool().release_unused()
             if batch.num_rows:
                 new = work(*(batch.column(wanted.index(c)) for c in inputs))
                 old = [batch.column(i) for i in range(len(kept))]
@@ -79,6 +83,18 @@ def add_columns(
     return plain.mapInArrow(run, schema).toDF(*(f.name for f in columns))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let the session hand rows to Python in batches of at most SLICE_BYTES.
+
+    Spark's own limit is 64 MB and 10,000 rows, which each running task holds several times over,
+    on both sides.  A smaller limit that the session already has stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    current = int(spark.conf.get(name).rstrip("b"))
+    if not 0 < current <= SLICE_BYTES:
+        spark.conf.set(name, str(SLICE_BYTES))
+
+
 def sliced(batch: pa.RecordBatch, columns: list[int]) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about SLICE_BYTES of the given columns' text, one row at least."""
     sizes = np.zeros(batch.num_rows, np.int64)

@@ -388,6 +388,7 @@ def duplicate_spans(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     if not 0 < size < width:
         raise ValueError("the anchor must be shorter than the window")
     docs = df.select(common.quoted(key).cast("long").alias("doc"), common.quoted(text).alias("text")).where("doc is not null and text is not null")
+    common.small_batches(df.sparkSession)
     copies, settled = _copies(docs, width)
     packed = _packed(docs)
     met = _routes(docs, width, size).join(settled, "doc", "left_anti")
