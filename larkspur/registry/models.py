@@ -44,16 +44,27 @@ def _split(s, d):
     return sampling.assign_folds(split, ["encounter_id"], tabular.FOLDS, SEED + 1)
 
 
-def _collapsed(s, d, target, split=None):
-    """Distinct (flags, target, fold) of one side, or of all rows, with row counts."""
-    rows = _split(s, d)
+def _counted(s, d):
+    """Distinct (flags, label, stay, fold, split) with row counts: the tables read once for many fits."""
+    return tabular.compact(tabular.collapse_flags(_split(s, d), FLAGS, ["label", "stay", "fold", "split"]))
+
+
+def _collapsed(s, d, target, split=None, counted=None):
+    """Distinct (flags, target, fold) of one side, or of all rows, with row counts.
+
+    ``counted`` rows (see ``_counted``) are added up instead of reading the tables again.
+    """
+    rows = _split(s, d) if counted is None else counted
     if split:
         rows = rows.filter(F.col("split") == split)
-    return tabular.compact(tabular.collapse_flags(rows, FLAGS, [target, "fold"]))
+    if counted is None:
+        return tabular.compact(tabular.collapse_flags(rows, FLAGS, [target, "fold"]))
+    added = rows.groupBy(*FLAGS, target, "fold").agg(F.sum(tabular.WEIGHT).alias(tabular.WEIGHT))
+    return tabular.compact(added)
 
 
-def _scaled(s, d, split=None):
-    rows = _collapsed(s, d, "label", split)
+def _scaled(s, d, split=None, counted=None):
+    rows = _collapsed(s, d, "label", split, counted)
     return tabular.assemble(
         tabular.scale(rows, FLAGS, tabular.sample_scale(rows, FLAGS)), FLAGS
     )
@@ -177,8 +188,8 @@ def _accuracy_evaluator(label="label", weight=tabular.WEIGHT):
     return evaluator.setWeightCol(weight) if weight else evaluator
 
 
-def _glm_search(s, d):
-    rows = tabular.assemble(_collapsed(s, d, "stay", "train"), FLAGS)
+def _glm_search(s, d, counted=None):
+    rows = tabular.assemble(_collapsed(s, d, "stay", "train", counted), FLAGS)
     model = tabular.poisson_model("stay")
     settings = tabular.grid({model.regParam: tabular.REG_PARAMS})
     return rows, tabular.grid_search(model, settings, _rmse_evaluator(), rows)
@@ -188,8 +199,8 @@ def _cv_glm(s, d):
     return tabular.search_table(*_glm_search(s, d))
 
 
-def _logit_search(s, d, penalties, mixes=None):
-    rows = _scaled(s, d, "train")
+def _logit_search(s, d, penalties, mixes=None, counted=None):
+    rows = _scaled(s, d, "train", counted)
     model = tabular.logistic_model("label")
     values = {model.regParam: penalties}
     if mixes:
@@ -388,15 +399,23 @@ def _setting_text(setting):
 
 
 def _linear_winners(s, d):
-    """Winner, its mean over the folds and its test score for the three linear searches."""
-    scaled_test = lambda: tabular.assemble(
-        tabular.scale(_collapsed(s, d, "label", "test"), FLAGS, tabular.sample_scale(_collapsed(s, d, "label", "train"), FLAGS)), FLAGS
-    )
+    """Winner, its mean over the folds and its test score for the three linear searches.
+
+    All sides of all searches come from one table of counts, so the tables are read once.
+    """
+    counted = _counted(s, d)
+    stays, labels = (_collapsed(s, d, target, "test", counted) for target in ("stay", "label"))
+    scales = tabular.sample_scale(_collapsed(s, d, "label", "train", counted), FLAGS)
+    stay_test = tabular.assemble(stays, FLAGS)
+    label_test = tabular.assemble(tabular.scale(labels, FLAGS, scales), FLAGS)
     work = {
-        "poisson": (lambda: _glm_search(s, d), _rmse_evaluator(), lambda: tabular.assemble(_collapsed(s, d, "stay", "test"), FLAGS)),
-        "logistic_l2": (lambda: _logit_search(s, d, tabular.REG_PARAMS), _accuracy_evaluator(), scaled_test),
+        "poisson": (lambda: _glm_search(s, d, counted), _rmse_evaluator(), stay_test),
+        "logistic_l2": (
+            lambda: _logit_search(s, d, tabular.REG_PARAMS, counted=counted), _accuracy_evaluator(), label_test,
+        ),
         "logistic_elastic": (
-            lambda: _logit_search(s, d, tabular.REG_PARAMS, tabular.ELASTIC_NET_PARAMS), _accuracy_evaluator(), scaled_test,
+            lambda: _logit_search(s, d, tabular.REG_PARAMS, tabular.ELASTIC_NET_PARAMS, counted),
+            _accuracy_evaluator(), label_test,
         ),
     }
     tables, scores = [], []
@@ -408,7 +427,7 @@ def _linear_winners(s, d):
             for i, (setting, mean) in enumerate(zip(found.getEstimatorParamMaps(), found.avgMetrics))
         ]
         tables += points
-        scores.append((name, float(evaluator.evaluate(found.bestModel.transform(test())))))
+        scores.append((name, float(evaluator.evaluate(found.bestModel.transform(test)))))
     columns = "model string, metric string, point int, settings string, mean_metric double"
     chosen = searches.winners(s.createDataFrame(tables, columns))
     return chosen.join(s.createDataFrame(scores, "model string, test_score double"), "model")
