@@ -2,12 +2,13 @@
 
 import itertools
 import random
+import time
 
 import duckdb
 import pytest
 from __spark_entry__ import queries
 from conftest import SMALL
-from larkspur.operators import metrics, sampling, sets
+from larkspur.operators import durable, metrics, sampling, sets
 from larkspur.plans import classify, experiments, recommend, searches, tabular
 from larkspur.registry import models, tables
 from larkspur.sources import sinks, standins
@@ -236,6 +237,27 @@ def test_user_factors_solve_the_normal_equations(spark):
             assert all(r.residual > 1e-4 * r["size"] for r in wrong.collect())
 
 
+def shuffle_files(spark):
+    """Number of shuffle files on this machine's disks."""
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    files = env.blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+@pytest.mark.parametrize("run", ["factors_per_fold", "predictions_per_fold"])
+def test_fits_leave_no_shuffles_of_their_iterations(spark, run):
+    rows = [(u, i, float((u * i) % 5)) for u in range(30) for i in range(30) if (u + i) % 3]
+    ratings = spark.createDataFrame(rows, "user_id int, item_id int, rating double")
+    folded = sampling.assign_folds(ratings, ["user_id", "item_id"], 2, 3)
+    durable.release(spark)
+    time.sleep(2)
+    before = shuffle_files(spark)
+    getattr(recommend, run)(folded, folds=2)
+    # the ten iterations of both fits write 40 shuffles of ten tasks with two files each
+    assert shuffle_files(spark) < before + 400
+    assert recommend.factor_model().getCheckpointInterval() == 1
+
+
 # -- packed vectors --------------------------------------------------------------
 
 
