@@ -258,6 +258,30 @@ def test_fits_leave_no_shuffles_of_their_iterations(spark, run):
     assert recommend.factor_model().getCheckpointInterval() == 1
 
 
+def test_normal_equations_are_checked_fold_by_fold(spark):
+    found = queries()["als_normal_equations"](spark, SMALL)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    rows = found.collect()
+    assert sorted(r.fold for r in rows) == [0, 1, 2, 3] and all(r.n_solved == r.n_users for r in rows)
+
+
+# -- linear searches -------------------------------------------------------------
+
+
+def test_linear_searches_read_the_tables_once(spark, monkeypatch):
+    """And give what each search finds from the tables themselves."""
+    monkeypatch.setattr(tabular, "REG_PARAMS", [0.1])
+    monkeypatch.setattr(tabular, "ELASTIC_NET_PARAMS", [0.5])
+    want = {"poisson": models._cv_glm(spark, SMALL), "logistic_elastic": models._cv_logit_elastic(spark, SMALL)}
+    seen, plain = [], standins.encounters
+    monkeypatch.setattr(standins, "encounters", lambda s, d: seen.append(d) or plain(s, d))
+    found = {r.model: r for r in models._linear_winners(spark, SMALL).collect()}
+    assert len(seen) == 1 and set(found) == {"poisson", "logistic_l2", "logistic_elastic"}
+    for name, table in want.items():
+        assert found[name].mean_metric == pytest.approx(table.first().mean_metric, rel=1e-12)
+
+
 # -- packed vectors --------------------------------------------------------------
 
 
