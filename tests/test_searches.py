@@ -306,6 +306,36 @@ def test_packed_vectors_store_little_and_predict_alike(spark):
     assert list(first.features) == want
 
 
+def test_unpacking_takes_four_bits_at_a_time(spark):
+    words = spark.range(8).select(F.col("id").alias("high"), (-F.col("id")).alias("low"))
+    plan = standins.unpacked(words)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("shiftright") <= standins.CHALLENGE_BITS // 4
+
+
+def test_unpacked_words_of_both_signs(spark):
+    words = [(0, -1), (-(2**63), 2**63 - 1), (0x0123456789ABCDEF, 1)]
+    got = [list(r.features) for r in standins.unpacked(spark.createDataFrame(words, "high long, low long")).collect()]
+    want = [[float(b) for w in pair for b in f"{w % 2**64:064b}"] for pair in words]
+    assert got == want
+
+
+def test_curve_scores_the_held_out_rows_once(spark, monkeypatch):
+    stored, plain = [], metrics.area_under_roc
+
+    def noted(scored, *args):
+        stored.append(scored.storageLevel.useMemory)
+        return plain(scored, *args)
+
+    monkeypatch.setattr(metrics, "area_under_roc", noted)
+    found = models.challenge_curve(spark, SMALL, {"DT": classify.tree(maxDepth=3)}, sizes=[1.0]).first()
+    monkeypatch.undo()
+    assert stored == [True]
+    train, test = models.challenge_sides(spark, SMALL)
+    scored = classify.tree(maxDepth=3).fit(train).transform(test)
+    assert found.auc == pytest.approx(metrics.area_under_roc(scored, classify.LABEL))
+    assert found.accuracy == pytest.approx(scored.agg(metrics.accuracy(classify.LABEL, "prediction")).first()[0])
+
+
 def stored_bytes(spark):
     """Bytes that stored frames take."""
     return sum(i.memSize() + i.diskSize() for i in spark.sparkContext._jsc.sc().getRDDStorageInfo())
