@@ -307,8 +307,10 @@ def test_packed_vectors_store_little_and_predict_alike(spark):
 
 
 def test_unpacking_takes_four_bits_at_a_time(spark):
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
     words = spark.range(8).select(F.col("id").alias("high"), (-F.col("id")).alias("low"))
     plan = standins.unpacked(words)._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
     assert 0 < plan.count("shiftright") <= standins.CHALLENGE_BITS // 4
 
 
