@@ -258,6 +258,34 @@ def test_fits_leave_no_shuffles_of_their_iterations(spark, run):
     assert recommend.factor_model().getCheckpointInterval() == 1
 
 
+@pytest.mark.parametrize("run", ["factors_per_fold", "predictions_per_fold", "models_per_fold", "fold_metrics", "item_factors"])
+def test_blocks_of_a_model_grow_with_the_ratings(spark, monkeypatch, run):
+    """A task builds a whole block in memory, so twice the ratings are dealt out over twice the blocks."""
+    rows = [(u, i, float((u * i) % 5)) for u in range(40) for i in range(40)]
+    ratings = spark.createDataFrame(rows, "user_id int, item_id int, rating double")
+    folded = sampling.assign_folds(ratings, ["user_id", "item_id"], 2, 3)
+    seen, turns, plain, in_turn = [], [], recommend.factor_model, recommend.in_turn
+
+    def noted(*args, **settings):
+        model = plain(*args, **{**settings, "maxIter": 1})
+        seen.append((model.getNumUserBlocks(), model.getNumItemBlocks()))
+        return model
+
+    monkeypatch.setattr(recommend, "factor_model", noted)
+    monkeypatch.setattr(recommend, "in_turn", lambda s, t, n: turns.append(n) or in_turn(s, t, n))
+    settings = {"settings": {"1": {}}} if run == "fold_metrics" else {}
+    monkeypatch.setattr(recommend, "ALONE_BLOCKS", 20)
+    for size, blocks, at_once in ((100, 16, 2), (80, 20, 1)):
+        monkeypatch.setattr(recommend, "BLOCK_RATINGS", size)
+        if run == "item_factors":
+            assert recommend.item_factors(ratings).count() == 40
+        else:
+            getattr(recommend, run)(folded, folds=2, **settings)
+            assert turns.pop() == at_once
+        assert set(seen) == {(blocks, blocks)}
+        seen.clear()
+
+
 def test_normal_equations_are_checked_fold_by_fold(spark):
     found = queries()["als_normal_equations"](spark, SMALL)
     plan = found._jdf.queryExecution().executedPlan().toString()
