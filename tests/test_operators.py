@@ -8,6 +8,7 @@ import pytest
 from larkspur.functions.columns import flags, signed_label, strings_to_double
 from larkspur.operators import durable, layout, metrics, ranking, sampling, sets
 from larkspur.plans import experiments
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 
@@ -184,3 +185,30 @@ def test_spread_is_the_same_for_any_input_layout(spark):
         for df in layouts
     ]
     assert parts[0] == parts[1] and len(set(parts[0].values())) > layout.PARTS // 2
+
+
+def test_area_moves_the_scores_once(spark):
+    """The evaluator sorts them in several passes; one class only gives what it gives, too."""
+    rng = random.Random(5)
+    for name, rows in {
+        "both": [(float(rng.random() < 0.4), rng.randrange(40) / 8, rng.randrange(1, 4)) for _ in range(500)],
+        "negatives": [(0.0, float(i % 3), 1) for i in range(9)],
+        "positives": [(1.0, float(i % 3), 1) for i in range(9)],
+    }.items():
+        scored = spark.createDataFrame(rows, "y double, score double, w long").repartition(7).persist()
+        scored.count()
+        want = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="score", numBins=0).setWeightCol("w").evaluate(scored)
+        spark.sparkContext.setJobGroup(name, name)
+        found = metrics.area_under_roc(scored, "y", "score", "w")
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(name)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert found == pytest.approx(want, abs=1e-12), name
+        # ranges of the scores, the scores dealt out, the sums
+        assert 0 < len(jobs) <= 3, name
+
+
+def test_equal_rows_collapse_where_they_are(spark):
+    rows = spark.createDataFrame([(float(i % 2), i % 3) for i in range(600)], "a double, b int").repartition(4).persist()
+    found = metrics.collapsed(rows, ["a", "b"])
+    assert found.count() <= 4 * 6
+    assert {(r.a, r.b): r.n for r in found.groupBy("a", "b").agg(F.sum("n").alias("n")).collect()} == {(a, b): 100 for a in (0.0, 1.0) for b in range(3)}

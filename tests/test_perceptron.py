@@ -76,3 +76,26 @@ def test_quality_reads_stored_vectors_and_fits_one_model_at_a_time(spark, monkey
     assert seen["n"] == 1 and isinstance(seen["fitted"]["MPC"], perceptron.PackedPerceptron)
     train, test = models.packed_sides(spark, SMALL)
     assert (found.n_train, found.n_test) == (train.count(), test.count())
+
+
+def test_few_rows_are_fitted_in_few_parts(spark, monkeypatch):
+    """Every pass starts a Python task per part, which takes longer than the work on a few thousand rows."""
+    seen, plain = [], perceptron.minimise
+
+    def noted(loss, start, *args):
+        parts = next(c.cell_contents for c in loss.__closure__ if hasattr(c.cell_contents, "getNumPartitions"))
+        seen.append(parts.getNumPartitions())
+        return plain(loss, start, *args)
+
+    monkeypatch.setattr(perceptron, "minimise", noted)
+    rows = spark.range(300).select(
+        F.xxhash64("id").alias("high"), F.xxhash64(F.col("id") + 1).alias("low"), (F.col("id") % 2).cast("double").alias(classify.LABEL)
+    ).repartition(40)
+    fit = perceptron.PackedPerceptron(classify.perceptron(standins.CHALLENGE_BITS, maxIter=2), standins.WORDS)
+    few = fit.fit(rows).weights.toArray()
+    monkeypatch.setattr(perceptron, "PART_ROWS", 100)
+    three = fit.fit(rows).weights.toArray()
+    monkeypatch.setattr(perceptron, "PART_ROWS", 1)
+    fit.fit(rows)
+    assert seen == [1, 3, perceptron.PARTS]
+    assert three == pytest.approx(few, abs=1e-9)
